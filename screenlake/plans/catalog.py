@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from screenlake.plans import feature_queries, index_queries  # noqa: F401
+from screenlake.plans import feature_queries, graph_queries, index_queries  # noqa: F401
 from screenlake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
