@@ -7,6 +7,7 @@ from screenlake.plans import (  # noqa: F401
     graph_queries,
     index_queries,
     metric_queries,
+    model_queries,
     source_queries,
     text_queries,
 )
