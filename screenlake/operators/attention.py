@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.functions.arrays import elu, log_softmax
+from screenlake.session import materialize
 
 
 @dataclass(frozen=True)
@@ -58,14 +59,16 @@ def attention_layer(
     """``id, x`` after one layer; ``nodes`` is ``id, x`` and ``edges`` integer ``src, dst`` with self-edges.
 
     The softmax of a node's incoming edges is two aggregates with map-side
-    combine, so a hub is reduced in every task before it meets one.
+    combine, so a hub is reduced in every task before it meets one. Projected
+    nodes and scored edges are each read twice and therefore written once.
     """
-    projected = nodes.select("id", _project(weights)("x").alias("p")).select("id", "p.l", "p.r")
+    projected = materialize(nodes.select("id", _project(weights)("x").alias("p")).select("id", "p.l", "p.r"), "projected")
     senders = projected.select(F.col("id").alias("src"), "l")
     receivers = projected.select(F.col("id").alias("dst"), "r")
     scored = edges.join(senders, "src").join(receivers, "dst").select(
         "dst", "l", _score(weights, slope).alias("score")
     )
+    scored = materialize(scored, "scored")
     top = scored.groupBy("dst").agg(F.max("score").alias("top"))
     weighed = scored.join(top, "dst").withColumn("w", F.exp(F.col("score") - F.col("top")))
     sums = [F.sum(F.col("w") * F.col("l")[k]).alias(f"_s{k}") for k in range(weights.width)]

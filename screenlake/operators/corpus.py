@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.ml.functions import predict_batch_udf
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from screenlake.functions.rouge import rouge, rouge_means
 from screenlake.functions.text import as_text, file_root, parent_dir, sentence_lines, strip, token_count, with_prefix
 from screenlake.operators import index, metrics
 from screenlake.session import materialize
+from screenlake.sources import files
 
 Predictor = Callable[[Column], Column]
 
@@ -72,6 +73,11 @@ def batch_predictor(make_fn, batch_size: int, return_type: T.DataType | None = N
     return predict_batch_udf(make_fn, return_type=return_type or T.StringType(), batch_size=batch_size)
 
 
+def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """A user function over Arrow batches: ``fn(iterator of pandas frames)`` yields frames of ``schema``."""
+    return df.mapInPandas(fn, schema)
+
+
 def predict(df: DataFrame, predictor: Predictor, prompt: str = "prompt", out: str = "predictions") -> DataFrame:
     return df.withColumn(out, predictor(F.col(prompt)))
 
@@ -137,7 +143,8 @@ def add_tasks(
     """Base rows plus the wanted tasks, told apart by ``task``.
 
     The correctness and fix tasks share the correctness sample when both are
-    on. It is predicted once and written, so the model never runs twice.
+    on. Predictions are written, so the model runs once however often the
+    result is read.
     Samples are drawn before the classification copies change the prompts.
     """
     if AUGMENTED_MARK in name:
@@ -147,9 +154,7 @@ def add_tasks(
     if ratio > 0:
         if predictor is None:
             raise ValueError("the correctness and fix tasks need a predictor")
-        sampled = predict(index.sample_fraction(df, [key], ratio, seed), predictor)
-        if correctness_ratio > 0 and fix_ratio > 0:
-            sampled = materialize(sampled, "predicted")
+        sampled = materialize(predict(index.sample_fraction(df, [key], ratio, seed), predictor), "predicted")
         if correctness_ratio > 0:
             added.append(correctness_task(sampled).withColumn("task", F.lit("correctness")))
         if fix_ratio > 0:
@@ -189,11 +194,9 @@ def augment(
     write_to: str | None = None,
 ) -> DataFrame:
     """Adds tasks, writes them when asked, drops long rows, and orders the rest by seed (``position``)."""
-    from screenlake.sources.files import write_csv
-
     grown = add_tasks(df, predictor, correctness_ratio, fix_ratio, classification, key, seed, name)
     if write_to and AUGMENTED_MARK not in name and (correctness_ratio or fix_ratio or classification):
-        write_csv(grown, write_to)
+        files.write_csv(grown, write_to)
     if filter_tokens:
         grown = limit_tokens(count_tokens(grown), max_input, max_output)
     return index.permute(grown, [key, "task"], seed) if shuffle else grown
@@ -236,8 +239,24 @@ def evaluate(
     return marked, report
 
 
-def evaluate_file(spark, path: str, predictor: Predictor, folder: str = "", **options) -> tuple[DataFrame, DataFrame]:
+def evaluate_file(
+    spark: SparkSession, path: str, predictor: Predictor, folder: str = "", **options
+) -> tuple[DataFrame, DataFrame]:
     """The same for a CSV file of text pairs."""
-    from screenlake.sources.files import PAIR_SCHEMA, read_csv
+    return evaluate(files.read_csv(spark, path, files.PAIR_SCHEMA, folder), predictor, **options)
+
+
+def evaluate_frame(spark: SparkSession, frame, predictor: Predictor, **options) -> tuple[DataFrame, DataFrame]:
+    """The same for a pandas frame in memory."""
+    return evaluate(spark.createDataFrame(frame), predictor, **options)
+
 
-    return evaluate(read_csv(spark, path, PAIR_SCHEMA, folder), predictor, **options)
+def write_evaluation(
+    marked: DataFrame, report: DataFrame, test_file: str, output_dir: str, epoch: int, overwrite: bool = False
+) -> str:
+    """Writes the rows as CSV, named by epoch and number of right answers, and the metrics as JSON."""
+    right = marked.filter("correct").count()
+    target = files.results_name(test_file, output_dir, epoch, right)
+    files.write_csv(marked, target, overwrite)
+    files.write_metrics(report, f"{output_dir.rstrip('/')}/test_results.json", overwrite)
+    return target

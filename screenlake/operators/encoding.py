@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from screenlake.functions.arrays import col
 from screenlake.functions.text import with_prefix, words
 from screenlake.operators.index import global_index
+from screenlake.session import materialize
 
 PAD, END, UNKNOWN = 0, 1, 2
 SPECIALS = ["<pad>", "</s>", "<unk>"]
@@ -22,7 +23,7 @@ def vocabulary(df: DataFrame, text: str) -> DataFrame:
     plain = numbered.select("token", (F.col("id") + len(SPECIALS)).cast("int").alias("id"), F.lit(False).alias("special"))
     rows = [(token, i, True) for i, token in enumerate(SPECIALS)]
     special = df.sparkSession.createDataFrame(rows, "token string, id int, special boolean")
-    return special.unionByName(plain)
+    return materialize(special.unionByName(plain), "vocabulary")
 
 
 def pad_to(ids: Column, length: int, pad: int = PAD) -> Column:
@@ -47,8 +48,8 @@ def encode(
 
     ``fields`` maps an output name to its text and length; all fields share one
     pass. Rows are cut to length before they are exploded, so what is gathered
-    again per row is at most the fields' lengths. Spark broadcasts the
-    vocabulary when it is small and splits hot words in the join when not.
+    again per row is at most the fields' lengths. A written vocabulary is
+    broadcast when it is small; when it is not, the join splits hot words.
     """
     keep = {name: length - int(end_marker) for name, (_, length) in fields.items()}
     tokens = [_tagged(words(text), name, keep[name]) for name, (text, _) in fields.items()]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from screenlake.functions.arrays import dense_from_entries, indicator
 from screenlake.operators import index
+from screenlake.session import materialize
 
 # The named cell states, in output order; the last also takes every unknown state.
 STATES = ["progenitor", "effector", "terminal exhausted", "cycling", "other"]
@@ -61,10 +62,25 @@ def state_proportions(
     return counts.select(condition, *[(F.col(_named(s)) / F.col("total")).alias(_named(s)) for s in states])
 
 
+def label_table(
+    cells: DataFrame,
+    conditions: DataFrame | None = None,
+    states: list[str] = STATES,
+    condition: str = "condition",
+    state: str = "state",
+) -> DataFrame:
+    """State proportions as a written table, one row per condition."""
+    return materialize(state_proportions(cells, conditions, states, condition, state), "labels")
+
+
 def expand_labels(
     cells: DataFrame, labels: DataFrame, condition: str = "condition", strict: bool = True
 ) -> DataFrame:
-    """Gives every cell the label row of its condition; strict mode refuses unlabelled conditions."""
+    """Gives every cell the label row of its condition; strict mode refuses unlabelled conditions.
+
+    Pass ``labels`` as a written table (``label_table``), so the cells stay
+    where they are when the labels are few.
+    """
     if strict:
         missing = cells.select(condition).distinct().join(labels, condition, "left_anti").limit(5).collect()
         if missing:
@@ -171,7 +187,7 @@ def one_hot(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
     levels = df.select(column).distinct()
     spot = F.row_number().over(Window.orderBy(column)) - 1
     width = F.count("*").over(Window.partitionBy())
-    placed = levels.select(column, indicator(spot, width).alias(out))
+    placed = materialize(levels.select(column, indicator(spot, width).alias(out)), "levels")
     return df.join(placed, column).select(*df.columns, out)
 
 
@@ -216,16 +232,15 @@ def training_table(
 ) -> DataFrame:
     """``cell_id, split, features``: dense features then label shares, zeros as NaN.
 
-    Excluded conditions go first, so the labels' join and the split see only
-    the cells that stay.
+    Excluded conditions go first. The split is drawn on the cells alone, before
+    any join, since no later step drops a cell.
     """
-    labels = state_proportions(cells, conditions, states)
-    kept = exclude_conditions(cells, excluded)
+    labels = label_table(cells, conditions, states)
+    kept = index.three_way(exclude_conditions(cells, excluded), ["cell_id"], seed)
     entries, width = compact_features(matrix, genes, dropped_features)
     dense = densify(expand_labels(kept, labels), sum_entries(entries), width)
     stacked = stack(dense, "features", [_named(s) for s in states])
-    filled = zero_to_nan_array(stacked, "features")
-    return index.three_way(filled, ["cell_id"], seed).select("cell_id", "split", "features")
+    return zero_to_nan_array(stacked, "features").select("cell_id", "split", "features")
 
 
 def reindex(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

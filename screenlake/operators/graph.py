@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.operators.index import global_index
+from screenlake.session import materialize
 
 # ----------------------------------------------------------- names and edges
 
@@ -23,8 +24,16 @@ def both_directions(links: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def undirected_edges(links: DataFrame, a: str, b: str) -> DataFrame:
-    """Both directions without repeats."""
-    return both_directions(links, a, b).distinct()
+    """Both directions without repeats.
+
+    Each pair is put in one order before repeats are removed, so a link is
+    shuffled once, and turned around only afterwards.
+    """
+    whole = links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+    pairs = whole.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).distinct()
+    ends = F.array(F.struct(F.col("lo").alias("src"), F.col("hi").alias("dst")),
+                   F.struct(F.col("hi").alias("src"), F.col("lo").alias("dst")))
+    return pairs.select(F.explode(F.array_distinct(ends)).alias("e")).select("e.src", "e.dst")
 
 
 def relation_graph(
@@ -44,15 +53,15 @@ def relation_graph(
     repeats are removed, so the edge file is scanned once and shuffled only
     as far as it matters. Rows stay rows: no list of a hub is ever gathered.
     """
-    wanted = labels.select(F.col(labels.columns[0]).alias("src")).distinct()
+    wanted = materialize(labels.select(F.col(labels.columns[0]).alias("src")).distinct(), "labels")
     label_ids = first_ids(names, name, id_, order).select(F.col(name).alias("src"), F.col(id_).alias("src_id"))
-    label_ids = label_ids.join(wanted, "src", "left_semi")
+    label_ids = materialize(label_ids.join(wanted, "src", "left_semi"), "label_ids")
     if strict:
         missing = wanted.join(label_ids, "src", "left_anti").limit(5).collect()
         if missing:
             raise KeyError(f"labels without a dictionary entry: {[r[0] for r in missing]}")
     id_names = names.groupBy(F.col(id_).alias("dst_id")).agg(F.min_by(name, order).alias("dst"))
-    id_names = id_names.join(wanted.withColumnRenamed("src", "dst"), "dst", "left_semi")
+    id_names = materialize(id_names.join(wanted.withColumnRenamed("src", "dst"), "dst", "left_semi"), "id_names")
     sided = both_directions(links, *ends).select(F.col("src").alias("src_id"), F.col("dst").alias("dst_id"))
     near = sided.join(label_ids, "src_id").join(id_names, "dst_id")
     return near.select("src", "dst_id", "dst").distinct()
@@ -107,7 +116,7 @@ def first_seen_ids(
         F.col("key").alias("node"), F.struct("_key", F.lit(1).alias("_late"), own_at.alias("_at")).alias("place")
     )
     first = met.unionByName(own).groupBy("node").agg(F.min("place").alias("place")).select("node", "place.*")
-    return global_index(first, ["_key", "_late", "_at"], "id").select("node", "id")
+    return materialize(global_index(first, ["_key", "_late", "_at"], "id").select("node", "id"), "ids")
 
 
 def integer_edges(edges: DataFrame, ids: DataFrame) -> DataFrame:

@@ -164,8 +164,8 @@ def global_index(
 def group_number(df: DataFrame, key: str, out: str = "group_number") -> DataFrame:
     """Number of each distinct key in sorted order, from 0, as a string."""
     numbered = global_index(df.select(key).distinct(), [key], "_number")
-    numbered = numbered.select(key, F.col("_number").cast("string").alias(out))
-    return df.join(numbered, key).select(*df.columns, out)
+    lookup = materialize(numbered.select(key, F.col("_number").cast("string").alias(out)), "numbers")
+    return df.join(lookup, key).select(*df.columns, out)
 
 
 def renumber(df: DataFrame, order: list[str], out: str = "index") -> DataFrame:

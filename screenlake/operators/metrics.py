@@ -78,9 +78,11 @@ def mean_of_batch_ratios(
     return masked_cross_entropy(df, logits, label, mask, smoothing, [batch]).agg(F.avg("loss").alias("loss"))
 
 
-def soft_target_cross_entropy(df: DataFrame, scores: str, targets: str) -> DataFrame:
-    """Mean cross-entropy of the rows against target shares."""
-    return df.agg(F.avg(losses.soft_cross_entropy(scores, targets)).alias("loss"))
+def soft_target_cross_entropy(
+    df: DataFrame, scores: str, targets: str, group: list[str] | None = None
+) -> DataFrame:
+    """Mean cross-entropy of the rows against target shares, in all or per group."""
+    return df.groupBy(*(group or [])).agg(F.avg(losses.soft_cross_entropy(scores, targets)).alias("loss"))
 
 
 def mean_length(df: DataFrame, ids: str, pad: int, out: str = "gen_len") -> DataFrame:

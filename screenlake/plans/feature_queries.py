@@ -48,7 +48,7 @@ def state_proportions(spark, sf_dir):
 )
 def expand_labels(spark, sf_dir):
     cells = b.cells(spark, sf_dir)
-    labels = features.state_proportions(cells, states=b.STATES)
+    labels = features.label_table(cells, states=b.STATES)
     return features.expand_labels(features.exclude_conditions(cells, b.EXCLUDED_USERS), labels)
 
 
@@ -127,7 +127,7 @@ STATUS_SQL = """
 )
 def stack_features_labels(spark, sf_dir):
     cells = b.order_cells(spark, sf_dir)
-    labels = features.state_proportions(cells, states=STATUS_STATES)
+    labels = features.label_table(cells, states=STATUS_STATES)
     dense = features.expand_labels(_dense(spark, sf_dir), labels)
     stacked = features.stack(dense, "features", STATUS_STATES)
     return stacked.select("cell_id", *features.as_columns(stacked, "features", [*LINE_NAMES, "y0", "y1", "y2"]))

@@ -13,7 +13,6 @@ from screenlake.session import scratch_path
 from screenlake.sources import files
 
 SMOOTHING = 0.1
-STATE_SUM = [f"{s}" for s in b.STATES]
 
 
 def _answered(spark, sf_dir):
@@ -138,13 +137,8 @@ def soft_target_ce(spark, sf_dir):
     )
     rows = outputs.join(labels, "condition").withColumn("targets", F.array(*b.STATES))
     masked = index.split_masks(rows, ["condition"], 0.2)
-    parts = [
-        metrics.soft_target_cross_entropy(masked.filter(F.col("train_mask") == m), "scores", "targets").select(
-            F.lit(m).alias("train_mask"), F.round("loss", 6).alias("loss")
-        )
-        for m in (0, 1)
-    ]
-    return parts[0].unionByName(parts[1])
+    scored = metrics.soft_target_cross_entropy(masked, "scores", "targets", ["train_mask"])
+    return scored.select("train_mask", F.round("loss", 6).alias("loss"))
 
 
 @query(

@@ -57,7 +57,10 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Cuts lineage in a way that outlives executors, fixes the values of
     plan-dependent columns (partition numbers), and keeps column pruning for
-    whatever reads the table next.
+    whatever reads the table next. A derived lookup table that is written this
+    way also joins by its true size: Spark broadcasts it when it is under the
+    session's threshold and leaves the large side unshuffled, and takes a
+    shuffle join with skew splitting when it is not.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
