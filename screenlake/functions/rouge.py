@@ -8,8 +8,8 @@ that already sit in one row.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,36 +39,43 @@ def ngram_overlap(a: list[str], b: list[str], n: int) -> float:
     return f_score(sum((left & right).values()), sum(left.values()), sum(right.values()))
 
 
-def lcs_length(a: list[str], b: list[str]) -> int:
-    """Length of the longest common subsequence, with one bit per word of ``b``."""
+def _lcs_states(a: list[str], b: list[str]) -> Iterator[int]:
+    """Bit-parallel subsequence table: one integer per prefix of ``a``, one bit per word of ``b``.
+
+    A bit is 0 where the length grows by one at that word of ``b``.
+    """
     where: dict[str, int] = {}
     for i, word in enumerate(b):
         where[word] = where.get(word, 0) | (1 << i)
-    full = (1 << len(b)) - 1
-    state = full
+    full = state = (1 << len(b)) - 1
+    yield state
     for word in a:
         hits = state & where.get(word, 0)
         state = ((state + hits) | (state - hits)) & full
-    return len(b) - state.bit_count()
+        yield state
+
+
+def lcs_length(a: list[str], b: list[str]) -> int:
+    """Length of the longest common subsequence."""
+    last = 0
+    for last in _lcs_states(a, b):
+        pass
+    return len(b) - last.bit_count()
 
 
 def _lcs_hits(expected: list[str], predicted: list[str]) -> set[int]:
     """Positions in ``expected`` of one longest common subsequence."""
-    if not expected or not predicted:
-        return set()
-    code: dict[str, int] = {}
-    right = np.array([code.setdefault(w, len(code)) for w in predicted])
-    table = np.zeros((len(expected) + 1, len(predicted) + 1), dtype=np.int32)
-    for i, word in enumerate(expected, 1):
-        same = right == code.get(word, -1)
-        step = np.maximum(table[i - 1, 1:], (table[i - 1, :-1] + 1) * same)
-        table[i, 1:] = np.maximum.accumulate(step)
+    states = list(_lcs_states(expected, predicted))
+
+    def length(i: int, j: int) -> int:
+        return j - (states[i] & ((1 << j) - 1)).bit_count()
+
     hits, i, j = set(), len(expected), len(predicted)
     while i and j:
         if expected[i - 1] == predicted[j - 1]:
             hits.add(i - 1)
             i, j = i - 1, j - 1
-        elif table[i, j - 1] > table[i - 1, j]:
+        elif length(i, j - 1) > length(i - 1, j):
             j -= 1
         else:
             i -= 1

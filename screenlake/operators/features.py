@@ -26,8 +26,8 @@ def exclude_conditions(
         absent = [label for label in excluded if label not in present]
         if absent:
             raise KeyError(f"conditions not found: {absent}")
-    # A null condition is on no list, so it stays.
-    return df.filter(F.coalesce(~F.col(condition).isin(excluded), F.lit(True)))
+    # A null condition is on no list, so it stays. In this form the filter reaches the scan.
+    return df.filter(F.col(condition).isNull() | ~F.col(condition).isin(excluded))
 
 
 def state_counts(
