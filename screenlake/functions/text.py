@@ -39,9 +39,15 @@ def with_prefix(text: str | Column, prefix: str | None) -> Column:
     return F.concat(F.lit(prefix or ""), col(text))
 
 
-def words(text: str | Column) -> Column:
-    """Whitespace-separated tokens."""
-    return F.filter(F.split(col(text), r"\s+"), lambda x: x != "")
+def words(text: str | Column, first: int | None = None) -> Column:
+    """Whitespace-separated tokens, or only the ``first`` so many.
+
+    Splitting stops behind the last wanted token: leading whitespace costs one
+    empty piece and the unsplit rest is one more.
+    """
+    limit = -1 if first is None else first + 2
+    tokens = F.filter(F.split(col(text), r"\s+", limit), lambda x: x != "")
+    return tokens if first is None else F.slice(tokens, 1, first)
 
 
 def token_count(text: str | Column, end_marker: bool = False) -> Column:

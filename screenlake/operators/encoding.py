@@ -30,11 +30,11 @@ def pad_to(ids: Column, length: int, pad: int = PAD) -> Column:
     return F.concat(ids, F.array_repeat(F.lit(pad), F.lit(length) - F.size(ids)))
 
 
-def _tagged(tokens: Column, field: str, length: int) -> Column:
+def _tagged(tokens: Column, field: str) -> Column:
     def tag(token: Column, i: Column) -> Column:
         return F.struct(F.lit(field).alias("field"), i.alias("pos"), token.alias("token"))
 
-    return F.transform(F.slice(tokens, 1, length), tag)
+    return F.transform(tokens, tag)
 
 
 def encode(
@@ -52,7 +52,7 @@ def encode(
     broadcast when it is small; when it is not, the join splits hot words.
     """
     keep = {name: length - int(end_marker) for name, (_, length) in fields.items()}
-    tokens = [_tagged(words(text), name, keep[name]) for name, (text, _) in fields.items()]
+    tokens = [_tagged(words(text, keep[name]), name) for name, (text, _) in fields.items()]
     flat = df.select(key, F.explode_outer(F.concat(*tokens)).alias("t")).select(key, "t.*")
     known = vocab.filter(~F.col("special")).select("token", "id")
     found = flat.join(known, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNKNOWN)))

@@ -12,6 +12,9 @@ from screenlake.session import materialize
 # The named cell states, in output order; the last also takes every unknown state.
 STATES = ["progenitor", "effector", "terminal exhausted", "cycling", "other"]
 
+# Up to this many features a dense row is built by plain sums.
+NARROW = 64
+
 
 def _named(name: str) -> str:
     return name.replace(" ", "_")
@@ -135,13 +138,20 @@ def densify(
     value: str = "value",
     out: str = "features",
 ) -> DataFrame:
-    """One dense ``ARRAY<DOUBLE>`` per cell; cells without entries become all zeros.
+    """One dense ``ARRAY<DOUBLE>`` per cell; repeated entries add up, cells without entries are all zeros.
 
-    ``matrix`` holds one entry per (cell, feature), so a collected list is
-    never longer than the dense row itself.
+    A narrow row is a handful of sums in one aggregate. A wide one first adds
+    up repeats and then gathers a list that is never longer than the row.
     """
+    if width <= NARROW:
+        sums = [F.sum(F.when(F.col(feature) == i, F.col(value).cast("double"))) for i in range(width)]
+        rows = matrix.groupBy(cell).agg(*[F.coalesce(s, F.lit(0.0)).alias(f"_d{i}") for i, s in enumerate(sums)])
+        rows = rows.select(cell, F.array(*[f"_d{i}" for i in range(width)]).alias(out))
+        zeros = F.array_repeat(F.lit(0.0), width)
+        return cells.join(rows, cell, "left").withColumn(out, F.coalesce(out, zeros))
     entry = F.struct(F.col(feature).cast("int").alias("i"), F.col(value).cast("double").alias("v"))
-    rows = matrix.groupBy(cell).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
+    unique = sum_entries(matrix, cell, feature, value)
+    rows = unique.groupBy(cell).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = cells.join(rows, cell, "left")
     return joined.withColumn(out, dense_from_entries("_entries", width)).drop("_entries")
 
@@ -238,7 +248,7 @@ def training_table(
     labels = label_table(cells, conditions, states)
     kept = index.three_way(exclude_conditions(cells, excluded), ["cell_id"], seed)
     entries, width = compact_features(matrix, genes, dropped_features)
-    dense = densify(expand_labels(kept, labels), sum_entries(entries), width)
+    dense = densify(expand_labels(kept, labels), entries, width)
     stacked = stack(dense, "features", [_named(s) for s in states])
     return zero_to_nan_array(stacked, "features").select("cell_id", "split", "features")
 

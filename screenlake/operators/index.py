@@ -12,11 +12,15 @@ Three ways to number rows, picked by what the order is:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.session import materialize
 
+Rank = Callable[[Column], Column]  # row count -> rank
+
 PREFIX_DIGITS = 4  # hex digits, so 16**4 = 65,536 buckets at most
 
 
@@ -79,12 +83,12 @@ def permute_per_epoch(df: DataFrame, keys: list[str], seed: str | int, epochs: i
     return permute(repeated, keys, seed, group="epoch")
 
 
-def hash_cut(df: DataFrame, keys: list[str], seed: str | int, rank_of_total) -> DataFrame:
-    """One row: the hash of rank ``rank_of_total(n)`` in the seeded order.
+def hash_cuts(df: DataFrame, keys: list[str], seed: str | int, ranks: dict[str, Rank]) -> DataFrame:
+    """One row: per name, the hash of rank ``ranks[name](n)`` in the seeded order (null for rank 0).
 
     A radix select. The first pass only counts rows per hash prefix; the second
-    ranks the single bucket that holds the wanted row. The table itself is
-    never shuffled, and callers compare hashes against the returned value.
+    ranks the few buckets that hold a wanted row. The table itself is never
+    shuffled, and callers compare hashes against the returned values.
     """
     hashed = df.select(seeded_hash(seed, *keys).alias("_hash")).withColumn("_bucket", _prefix("_hash"))
     sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_size"))
@@ -93,42 +97,50 @@ def hash_cut(df: DataFrame, keys: list[str], seed: str | int, rank_of_total) ->
         "_size",
         _before("_size", ["_bucket"]).alias("_before"),
         F.sum("_size").over(Window.partitionBy()).alias("_total"),
-    ).withColumn("_want", rank_of_total(F.col("_total")).cast("long"))
-    hit = spans.filter("_before < _want AND _want <= _before + _size").selectExpr(
-        "_bucket", "_want - _before AS _need"
     )
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash"))
-    return (
-        hashed.join(F.broadcast(hit), "_bucket")  # `hit` is one row
+    wants = [F.struct(F.lit(k).alias("k"), r(F.col("_total")).cast("long").alias("rank")) for k, r in ranks.items()]
+    hits = spans.withColumn("_want", F.explode(F.array(*wants))).filter(
+        "_before < _want.rank AND _want.rank <= _before + _size"
+    )
+    hits = hits.selectExpr("_bucket", "_want.k AS _name", "_want.rank - _before AS _need")
+    rank = F.row_number().over(Window.partitionBy("_name", "_bucket").orderBy("_hash"))
+    found = (
+        hashed.join(F.broadcast(hits), "_bucket")  # one row per wanted rank
         .withColumn("_rank", rank)
         .filter("_rank = _need")
-        .select("_hash")
     )
+    return found.agg(*[F.max(F.when(F.col("_name") == k, F.col("_hash"))).alias(k) for k in ranks])
 
 
-def _first(df: DataFrame, keys: list[str], seed: str | int, rank_of_total) -> Column:
-    """True for the first ``rank_of_total(n)`` rows of the seeded order."""
-    cut = hash_cut(df, keys, seed, rank_of_total).scalar()
-    return F.coalesce(seeded_hash(seed, *keys) <= cut, F.lit(False))
+def _firsts(df: DataFrame, keys: list[str], seed: str | int, ranks: dict[str, Rank]) -> dict[str, Column]:
+    """Per name, true for the first ``ranks[name](n)`` rows of the seeded order."""
+    cuts = hash_cuts(df, keys, seed, ranks).select(F.struct(*ranks)).scalar()
+    own = seeded_hash(seed, *keys)
+    return {name: F.coalesce(own <= cuts[name], F.lit(False)) for name in ranks}
 
 
 def sample_fraction(df: DataFrame, keys: list[str], fraction: float, seed: str | int = 42) -> DataFrame:
     """Exactly ``round-half-even(fraction * n)`` rows, chosen by the seeded order."""
-    return df.filter(_first(df, keys, seed, lambda n: F.bround(n * F.lit(float(fraction)))))
+    drawn = _firsts(df, keys, seed, {"sample": lambda n: F.bround(n * F.lit(float(fraction)))})
+    return df.filter(drawn["sample"])
 
 
 def split_masks(df: DataFrame, keys: list[str], ratio: float, seed: str | int = 42) -> DataFrame:
     """Adds ``train_mask`` / ``test_mask`` (0/1); test = round-half-even(n * ratio)."""
-    train = _first(df, keys, seed, lambda n: n - F.bround(n * F.lit(float(ratio))))
-    marked = df.withColumn("train_mask", train.cast("int"))
+    first = _firsts(df, keys, seed, {"train": lambda n: n - F.bround(n * F.lit(float(ratio)))})
+    marked = df.withColumn("train_mask", first["train"].cast("int"))
     return marked.withColumn("test_mask", 1 - F.col("train_mask"))
 
 
 def three_way(df: DataFrame, keys: list[str], seed: str | int = 42, out: str = "split") -> DataFrame:
     """Half to train (rounded down), the rest halved into test (down) and validation (up)."""
-    train = _first(df, keys, seed, lambda n: F.floor(n / 2))
-    test = _first(df, keys, seed, lambda n: F.floor(n / 2) + F.floor(F.ceil(n / 2) / 2))
-    return df.withColumn(out, F.when(train, "train").when(test, "test").otherwise("validation"))
+    first = _firsts(
+        df,
+        keys,
+        seed,
+        {"train": lambda n: F.floor(n / 2), "test": lambda n: F.floor(n / 2) + F.floor(F.ceil(n / 2) / 2)},
+    )
+    return df.withColumn(out, F.when(first["train"], "train").when(first["test"], "test").otherwise("validation"))
 
 
 # ------------------------------------------------------------ numbers by key

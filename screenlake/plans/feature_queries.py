@@ -103,8 +103,7 @@ def select_features(spark, sf_dir):
 
 
 def _dense(spark, sf_dir):
-    matrix = features.sum_entries(b.line_matrix(spark, sf_dir))
-    return features.densify(b.order_cells(spark, sf_dir), matrix, b.LINES)
+    return features.densify(b.order_cells(spark, sf_dir), b.line_matrix(spark, sf_dir), b.LINES)
 
 
 @query("densify_rows", f"SELECT * EXCLUDE (lane, state) FROM ({b.LINE_ROWS_SQL})")

@@ -63,10 +63,12 @@ def test_positions_skip_absent_names_and_take_the_first(spark, rows):
     assert rows(features.positions_of(genes, ["b", "zz", "a"])) == [(0, "b", 2), (2, "a", 0)]
 
 
-def test_densify_fills_gaps_edges_and_empty_cells(spark, rows):
+@pytest.mark.parametrize("narrow", [0, 64])
+def test_densify_fills_gaps_edges_and_empty_cells(spark, rows, monkeypatch, narrow):
+    monkeypatch.setattr(features, "NARROW", narrow)
     cells = spark.createDataFrame([(1,), (2,), (3,)], "cell_id long")
     matrix = spark.createDataFrame(
-        [(1, 1, 5.0), (1, 3, 7.0), (2, 0, 1.0), (2, 4, 2.0)], "cell_id long, gene_idx int, value double"
+        [(1, 1, 2.0), (1, 1, 3.0), (1, 3, 7.0), (2, 0, 1.0), (2, 4, 2.0)], "cell_id long, gene_idx int, value double"
     )
     got = rows(features.densify(cells, matrix, 5), "cell_id", "features")
     assert got == [(1, [0, 5, 0, 7, 0]), (2, [1, 0, 0, 0, 2]), (3, [0, 0, 0, 0, 0])]

@@ -52,6 +52,12 @@ def test_activations(spark):
     assert df.select(elu("a")).first()[0] == pytest.approx([1000, 1000, -0.6321205588285577])
 
 
+def test_first_words(spark):
+    texts = ["  a b  c d ", "a", "", " a b", "a b", "a b c"]
+    assert one(spark, tx.words("x", 2), *texts) == [t.split()[:2] for t in texts]
+    assert one(spark, tx.words("x"), *texts) == [t.split() for t in texts]
+
+
 @pytest.fixture
 def vocab(spark):
     return encoding.vocabulary(spark.createDataFrame([("c b a",), ("a d",)], "t string"), "t")
