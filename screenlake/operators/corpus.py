@@ -195,9 +195,9 @@ def augment(
 ) -> DataFrame:
     """Adds tasks, writes them when asked, drops long rows, and orders the rest by seed (``position``).
 
-    Counting tokens is the costly part, so the counts of the rows that stay
-    are written as a narrow table. That table is put in order, and each row's
-    text joins it once by key.
+    Counting tokens is the costly part, so the counts are written once as a
+    narrow table. The limits and the order work on that table, and each row's
+    text joins it by key.
     """
     grown = add_tasks(df, predictor, correctness_ratio, fix_ratio, classification, key, seed, name)
     if write_to and AUGMENTED_MARK not in name and (correctness_ratio or fix_ratio or classification):
@@ -205,11 +205,9 @@ def augment(
     row = [key, "task"]
     if not filter_tokens:
         return index.permute(grown, row, seed) if shuffle else grown
-    counted = limit_tokens(count_tokens(grown), max_input, max_output)
-    if not shuffle:
-        return counted
-    kept = materialize(counted.select(*row, "token_count", "token_count_correct"), "counted")
-    return grown.join(index.permute(kept, row, seed), row)
+    counts = count_tokens(grown).select(*row, "token_count", "token_count_correct")
+    kept = limit_tokens(materialize(counts, "counts"), max_input, max_output)
+    return grown.join(index.permute(kept, row, seed) if shuffle else kept, row)
 
 
 # ------------------------------------------------------------------ evaluation
