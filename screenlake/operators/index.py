@@ -68,8 +68,10 @@ def permute(
         F.sum("_size").over(Window.partitionBy(*groups)).alias("_total"),
     )
     rank = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy("_hash", *keys))
-    # 65,536 offset rows at most (per epoch), whatever the table holds.
-    placed = hashed.withColumn("_rank", rank).join(F.broadcast(offsets), [*groups, "_bucket"])
+    # At most 65,536 offset rows, whatever the table holds. With groups there are so many
+    # per group, so that join is left to Spark; it reuses the partitioning of the ranks.
+    lookup = offsets if group else F.broadcast(offsets)
+    placed = hashed.withColumn("_rank", rank).join(lookup, [*groups, "_bucket"])
     columns = [F.col(c) for c in df.columns]
     columns.append((F.col("_before") + F.col("_rank") - 1).alias(out))
     if total:

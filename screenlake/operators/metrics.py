@@ -12,6 +12,9 @@ from screenlake.functions.arrays import col
 from screenlake.functions.text import strip
 from screenlake.operators import index
 
+# Up to this many rows a head is taken by top-k.
+SHORT_HEAD = 100_000
+
 # ------------------------------------------------------------------ accuracies
 
 
@@ -185,9 +188,18 @@ def scheduled_rows(
 
 
 def head_rows(df: DataFrame, limits: dict[str, int], order: list[str], split: str = "split") -> DataFrame:
-    """First ``min(n, limit)`` rows of each named split."""
-    heads = [df.filter(F.col(split) == s).orderBy(*order).limit(m) for s, m in limits.items()]
-    return reduce(DataFrame.unionByName, heads)
+    """First ``min(n, limit)`` rows of each named split.
+
+    A short head is a per-task top-k. A long one would meet in one task that
+    way, so its rows are numbered by range instead.
+    """
+
+    def head(part: DataFrame, limit: int) -> DataFrame:
+        if limit <= SHORT_HEAD:
+            return part.orderBy(*order).limit(limit)
+        return index.global_index(part, order, "_i").filter(F.col("_i") < limit).drop("_i")
+
+    return reduce(DataFrame.unionByName, [head(df.filter(F.col(split) == s), m) for s, m in limits.items()])
 
 
 # -------------------------------------------------------------------- reports

@@ -278,6 +278,25 @@ def rouge_n(spark, sf_dir):
     return _scored(spark, sf_dir, kinds, False).agg(*rouge_means("scores", kinds))
 
 
+LCS_SQL = rf"""
+    WITH RECURSIVE {b.TURNS_SQL}, {TURN_ROUGE_SQL},
+    steps AS (SELECT conv_id, turn, p, y, 0 AS i, list_transform(range(0, len(p) + 1), lambda j: 0) AS lengths FROM words
+              UNION ALL
+              SELECT conv_id, turn, p, y, i + 1, list_prepend(0, list_transform(range(1, len(p) + 1), lambda j: list_max(
+                  list_transform(range(1, j + 1), lambda k: greatest(lengths[k + 1],
+                                 CASE WHEN p[k] = y[i + 1] THEN lengths[k] + 1 ELSE 0 END)))))
+              FROM steps WHERE i < len(y)),
+    ends AS (SELECT conv_id, turn, lengths[len(p) + 1] AS l, len(p) AS n, len(y) AS m FROM steps WHERE i = len(y))
+    SELECT conv_id, turn, round(CASE WHEN l > 0 THEN 2 * (l / n) * (l / m) / (l / n + l / m) ELSE 0.0::DOUBLE END, 6)
+           AS "rougeL" FROM ends"""
+
+
+@query("rouge_lcs", LCS_SQL)
+def rouge_lcs(spark, sf_dir):
+    scored = _scored(spark, sf_dir, ("rougeL",), False)
+    return scored.select("conv_id", "turn", F.round("scores.rougeL", 6).alias("rougeL"))
+
+
 @query("rouge_l")
 def rouge_l(spark, sf_dir):
     kinds = ("rouge1", "rouge2", "rougeL", "rougeLsum")

@@ -23,6 +23,20 @@ class CellMatrix:
         return self.values.join(self.genes, "gene_idx").join(self.cells, "cell_id")
 
 
-def read_matrix_tables(spark: SparkSession, folder: str) -> CellMatrix:
-    """``cells``, ``genes`` and ``expression`` Parquet tables of one folder."""
-    return CellMatrix(*[spark.read.parquet(f"{folder}/{name}") for name in ("cells", "genes", "expression")])
+# The tables of a matrix folder and their columns.
+SCHEMAS = {
+    "cells": "cell_id STRING, lane STRING, condition STRING, state STRING",
+    "genes": "gene_idx INT, gene STRING",
+    "expression": "cell_id STRING, gene_idx INT, value DOUBLE",
+}
+
+
+def read_matrix_tables(spark: SparkSession, folder: str, file_format: str = "parquet") -> CellMatrix:
+    """``cells``, ``genes`` and ``expression`` of one folder, as Parquet or as CSV with header."""
+    if file_format == "parquet":
+        return CellMatrix(*[spark.read.parquet(f"{folder}/{name}") for name in SCHEMAS])
+    if file_format != "csv":
+        raise ValueError(f"matrix tables are parquet or csv, not {file_format}")
+    return CellMatrix(
+        *[spark.read.option("header", True).schema(s).csv(f"{folder}/{name}") for name, s in SCHEMAS.items()]
+    )

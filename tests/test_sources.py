@@ -4,7 +4,7 @@ import pytest
 
 from screenlake import session
 from screenlake.sources import files
-from screenlake.sources.matrix import read_matrix_tables
+from screenlake.sources.matrix import SCHEMAS, read_matrix_tables
 
 
 def test_path_rule():
@@ -103,6 +103,17 @@ def test_matrix_tables(spark, tmp_path, rows):
     assert rows(matrix.scan(), "cell_id", "gene", "condition", "value") == [(1, "g1", "A", 5.0)]
 
 
+def test_matrix_tables_as_csv(spark, tmp_path, rows):
+    folder = str(tmp_path)
+    spark.createDataFrame([("c1", "L1", "A", "other")], SCHEMAS["cells"]).write.csv(f"{folder}/cells", header=True)
+    spark.createDataFrame([(0, "g0"), (1, "g1")], SCHEMAS["genes"]).write.csv(f"{folder}/genes", header=True)
+    spark.createDataFrame([("c1", 1, 5.0)], SCHEMAS["expression"]).write.csv(f"{folder}/expression", header=True)
+    got = rows(read_matrix_tables(spark, folder, "csv").scan(), "cell_id", "gene", "condition", "value")
+    assert got == [("c1", "g1", "A", 5.0)]
+    with pytest.raises(ValueError):
+        read_matrix_tables(spark, folder, "h5")
+
+
 def test_reuse_or_build(spark, tmp_path):
     built = []
 
