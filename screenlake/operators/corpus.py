@@ -226,10 +226,11 @@ def evaluate(
     """``(rows with predictions and correct, metric/value table)``.
 
     Accuracy, ROUGE, mean length and, where token scores are given, the mean of
-    the batch losses. All row metrics come from a single aggregate. Without a
-    predictor the rows must bring their ``predictions``.
+    the batch losses. All row metrics come from a single aggregate. Predictions
+    are written, so the model runs once for both results; without a predictor
+    the rows must bring their ``predictions``.
     """
-    predicted = df if predictor is None else predict(df, predictor, prompt)
+    predicted = df if predictor is None else materialize(predict(df, predictor, prompt), "predicted")
     marked = metrics.mark_exact(predicted, "predictions", answer)
     sides = [sentence_lines(strip(side)) for side in ("predictions", answer)]
     hit = F.count_if("correct")

@@ -189,16 +189,16 @@ def distinct_positions(df: DataFrame, column: str, out: str = "position") -> Dat
 
 
 def one_hot(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
-    """One-hot ``ARRAY<DOUBLE>`` over the sorted distinct values of ``column``, none dropped.
+    """One-hot ``ARRAY<DOUBLE>`` over the sorted distinct values of ``column``; null for a missing value.
 
     The category list is as long as each produced vector, so ordering it in
     one window is in proportion to a single output row.
     """
-    levels = df.select(column).distinct()
+    levels = df.filter(F.col(column).isNotNull()).select(column).distinct()
     spot = F.row_number().over(Window.orderBy(column)) - 1
     width = F.count("*").over(Window.partitionBy())
     placed = materialize(levels.select(column, indicator(spot, width).alias(out)), "levels")
-    return df.join(placed, column).select(*df.columns, out)
+    return df.join(placed, column, "left").select(*df.columns, out)
 
 
 def append_array(df: DataFrame, features: str, extra: str) -> DataFrame:

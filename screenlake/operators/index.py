@@ -176,10 +176,10 @@ def global_index(
 
 
 def group_number(df: DataFrame, key: str, out: str = "group_number") -> DataFrame:
-    """Number of each distinct key in sorted order, from 0, as a string."""
-    numbered = global_index(df.select(key).distinct(), [key], "_number")
+    """Number of each distinct key in sorted order, from 0, as a string; null for a missing key."""
+    numbered = global_index(df.filter(F.col(key).isNotNull()).select(key).distinct(), [key], "_number")
     lookup = materialize(numbered.select(key, F.col("_number").cast("string").alias(out)), "numbers")
-    return df.join(lookup, key).select(*df.columns, out)
+    return df.join(lookup, key, "left").select(*df.columns, out)
 
 
 def renumber(df: DataFrame, order: list[str], out: str = "index") -> DataFrame:
@@ -264,9 +264,9 @@ def group_position(
 def running_total(
     df: DataFrame, group: str, order: str, value: str | Column, out: str, width: int = 1 << 20
 ) -> DataFrame:
-    """Running sum of ``value`` inside ``group`` by the whole-number key ``order``."""
+    """Running sum of ``value`` inside ``group`` by the whole-number key ``order``; missing values add nothing."""
     amount = F.col(value) if isinstance(value, str) else value
-    blocked = _blocked(df, order, width).withColumn("_amount", amount)
+    blocked = _blocked(df, order, width).withColumn("_amount", F.coalesce(amount, F.lit(0)))
     sums = blocked.groupBy(group, "_block").agg(F.sum("_amount").alias("_size"))
     offsets = sums.select(group, "_block", _before("_size", ["_block"], [group]).alias("_before"))
     within = Window.partitionBy(group, "_block").orderBy(order)

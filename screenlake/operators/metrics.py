@@ -168,11 +168,14 @@ def steps_per_epoch(df: DataFrame, batch: int, group: list[str] | None = None) -
 
 
 def warmup_decay(step: str | Column, total: str | Column, warmup: int, rate: float) -> Column:
-    """Linear rise over ``warmup`` steps, then a linear fall to 0 at ``total``."""
+    """Linear rise over ``warmup`` steps, then a linear fall to 0 at ``total``.
+
+    Without steps left to fall over, the rate stays where the rise ended.
+    """
     s, t = col(step), col(total)
     rise = F.try_divide(F.lit(rate) * s, F.lit(warmup))
-    left = F.coalesce(1 - F.try_divide(s - warmup, t - warmup), F.lit(0.0))
-    return F.when(s < warmup, rise).otherwise(F.lit(rate) * F.greatest(left, F.lit(0.0)))
+    left = F.when(t > warmup, F.greatest(1 - F.try_divide(s - warmup, t - warmup), F.lit(0.0))).otherwise(1.0)
+    return F.when(s < warmup, rise).otherwise(F.lit(rate) * left)
 
 
 def scheduled_rows(

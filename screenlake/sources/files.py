@@ -133,7 +133,10 @@ def augmented_name(name: str, folder: str = "") -> str:
 
 
 def matrix_text(column: str) -> Column:
-    """Number as text with 18 digits after the point; missing values read ``nan``."""
+    """Number as text with 18 digits after the point; missing values read ``nan``.
+
+    The text reads back to the same number. Digits behind its shortest exact form are zeros.
+    """
     c = F.col(column).cast("double")
     return F.when(F.isnan(c) | c.isNull(), "nan").otherwise(F.format_string("%.18e", c))
 

@@ -145,6 +145,20 @@ def test_evaluation_from_frame_file_and_folder(spark, tmp_path):
     assert list(json.loads(text)) == sorted(got)
 
 
+def test_evaluation_predicts_once(spark, tmp_path):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def counted(texts: pd.Series) -> pd.Series:
+        calls.add(len(texts))
+        return texts
+
+    df = spark.createDataFrame([(i, f"t {i}", "t 1") for i in range(5)], "row_id int, prompt string, correct_answer string")
+    marked, report = corpus.evaluate(df, counted)
+    corpus.write_evaluation(marked, report, "test.csv", str(tmp_path), epoch=0)
+    assert calls.value == 5 and report_of(report)["test_num_correct"] == 1.0
+
+
 def test_evaluation_adds_the_loss(spark):
     df = spark.createDataFrame([(0, "a", "a")], "row_id int, predictions string, correct_answer string")
     scores = spark.createDataFrame([(0, [0.0, 0.0], 1, 1), (1, [0.0, 0.0], 0, 1)], "batch int, logits array<double>, label int, mask int")

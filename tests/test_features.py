@@ -58,6 +58,11 @@ def test_one_hot_over_sorted_lanes(cells, rows):
     assert got == [(1, [0.0, 1.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0])]
 
 
+def test_one_hot_keeps_rows_without_a_lane(spark, rows):
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "i int, lane string")
+    assert rows(features.one_hot(df, "lane"), "i", "onehot") == [(1, [0.0, 1.0]), (2, None), (3, [1.0, 0.0])]
+
+
 def test_positions_skip_absent_names_and_take_the_first(spark, rows):
     genes = spark.createDataFrame([(4, "b"), (0, "a"), (2, "b")], "gene_idx int, gene string")
     assert rows(features.positions_of(genes, ["b", "zz", "a"])) == [(0, "b", 2), (2, "a", 0)]

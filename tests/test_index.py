@@ -78,8 +78,8 @@ def test_global_index_over_mixed_directions(spark):
 
 
 def test_group_number(spark, rows):
-    df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b")], "i int, root string")
-    assert rows(index.group_number(df, "root"), "i", "group_number") == [(0, "1"), (1, "0"), (2, "1")]
+    df = spark.createDataFrame([(0, "b"), (1, "a"), (2, "b"), (3, None)], "i int, root string")
+    assert rows(index.group_number(df, "root"), "i", "group_number") == [(0, "1"), (1, "0"), (2, "1"), (3, None)]
 
 
 @pytest.mark.parametrize("width", [1, 4, 1 << 20])
@@ -100,3 +100,9 @@ def test_running_total_in_blocks(spark, width):
     for g in {r.g for r in got}:
         sums = [r.s for r in sorted((r for r in got if r.g == g), key=lambda r: r.t)]
         assert sums == [2 * (i + 1) for i in range(len(sums))]
+
+
+def test_running_total_over_missing_values(spark):
+    df = spark.createDataFrame([(0, 0, None), (0, 1, 2), (0, 2, None), (0, 3, 5)], "g int, t int, v int")
+    got = index.running_total(df, "g", "t", "v", "s", width=1).orderBy("t").collect()
+    assert [r.s for r in got] == [0, 2, 2, 7]

@@ -119,7 +119,7 @@ def schedule(spark, steps, total, warmup, rate):
 def test_schedule(spark):
     assert schedule(spark, range(6), 6, 2, 1.0) == [0, 0.5, 1, 0.75, 0.5, 0.25]
     assert schedule(spark, [0, 5, 9], 6, 0, 1.0) == [1, pytest.approx(1 / 6), 0]
-    assert schedule(spark, [6, 7], 6, 6, 1.0) == [0, 0]  # no room to decay
+    assert schedule(spark, [5, 6, 7], 6, 6, 1.0) == [pytest.approx(5 / 6), 1, 1]  # no room to fall
 
 
 def test_scheduled_rows(spark):
