@@ -243,7 +243,8 @@ def group_position(
     """Position (from 0) inside ``group`` by the whole-number key ``order``.
 
     With a key that is unique per group, one task sorts at most ``width`` rows
-    of a group, however many the group has.
+    of a group, however many the group has. A row without group or key stays,
+    with no position.
     """
     blocked = _blocked(df, order, width)
     sizes = blocked.groupBy(group, "_block").agg(F.count("*").alias("_size"))
@@ -254,7 +255,7 @@ def group_position(
         F.sum("_size").over(Window.partitionBy(group)).alias("_total"),
     )
     rank = F.row_number().over(Window.partitionBy(group, "_block").orderBy(order))
-    placed = blocked.withColumn("_rank", rank).join(offsets, [group, "_block"])
+    placed = blocked.withColumn("_rank", rank).join(offsets, [group, "_block"], "left")
     columns = [F.col(c) for c in df.columns] + [(F.col("_before") + F.col("_rank") - 1).alias(out)]
     if total:
         columns.append(F.col("_total").alias(total))
@@ -271,5 +272,5 @@ def running_total(
     offsets = sums.select(group, "_block", _before("_size", ["_block"], [group]).alias("_before"))
     within = Window.partitionBy(group, "_block").orderBy(order)
     local = F.sum("_amount").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    placed = blocked.withColumn("_local", local).join(offsets, [group, "_block"])
+    placed = blocked.withColumn("_local", local).join(offsets, [group, "_block"], "left")
     return placed.select(*df.columns, (F.col("_before") + F.col("_local")).alias(out))

@@ -131,7 +131,7 @@ def metric_series(
     """
     placed = index.group_position(steps, epoch, step, "_i", "_n")
     ends = closing.select(epoch, F.col(step).alias("_end"))
-    placed = placed.join(ends, epoch).withColumn("_at", F.col("_end") - F.col("_n") + F.col("_i") + 1)
+    placed = placed.join(ends, epoch, "left").withColumn("_at", F.col("_end") - F.col("_n") + F.col("_i") + 1)
     train = placed.select(epoch, F.col("_at").alias("step"), *[F.col(m).alias(f"train_{m}") for m in train_metrics])
     tails = closing.select(
         epoch, F.col(step).alias("step"), F.col(time), *[F.col(m).alias(f"eval_{m}") for m in eval_metrics]

@@ -93,6 +93,12 @@ def test_group_positions_in_blocks(spark, width):
         assert all(m[2] == len(members) for m in members)
 
 
+def test_rows_without_group_or_key_stay(spark):
+    df = spark.createDataFrame([(0, 1), (None, 2), (0, None)], "g int, id long")
+    got = {(r.g, r.id): r.position for r in index.group_position(df, "g", "id").collect()}
+    assert got == {(0, 1): 0, (None, 2): None, (0, None): None}
+
+
 @pytest.mark.parametrize("width", [3, 1 << 20])
 def test_running_total_in_blocks(spark, width):
     df = spark.range(-10, 40).select(F.col("id").alias("t"), (F.col("id") % 2).alias("g"), F.lit(2).alias("v"))
