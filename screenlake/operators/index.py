@@ -247,7 +247,7 @@ def group_position(
     with no position.
     """
     blocked = _blocked(df, order, width)
-    sizes = blocked.groupBy(group, "_block").agg(F.count("*").alias("_size"))
+    sizes = blocked.filter("_block IS NOT NULL").groupBy(group, "_block").agg(F.count("*").alias("_size"))
     offsets = sizes.select(
         group,
         "_block",
@@ -268,7 +268,7 @@ def running_total(
     """Running sum of ``value`` inside ``group`` by the whole-number key ``order``; missing values add nothing."""
     amount = F.col(value) if isinstance(value, str) else value
     blocked = _blocked(df, order, width).withColumn("_amount", F.coalesce(amount, F.lit(0)))
-    sums = blocked.groupBy(group, "_block").agg(F.sum("_amount").alias("_size"))
+    sums = blocked.filter("_block IS NOT NULL").groupBy(group, "_block").agg(F.sum("_amount").alias("_size"))
     offsets = sums.select(group, "_block", _before("_size", ["_block"], [group]).alias("_before"))
     within = Window.partitionBy(group, "_block").orderBy(order)
     local = F.sum("_amount").over(within.rowsBetween(Window.unboundedPreceding, 0))
