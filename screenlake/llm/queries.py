@@ -5,18 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, packing, rans
+from screenlake.llm import bpe, packing, quality, rans, warc
 from screenlake.llm.common import default_tokenizer, table
+from screenlake.session import scratch_path
 
 #: Ids of the default tokenizer file: 50,256 of its model and one special token.
 VOCABULARY = 50_257
 
 
+def op3_segment_reassembly(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "archives")
+    warc.write_archives(table(spark, folder, "pages"), archives)
+    read = warc.read_archives(spark, archives).withColumnRenamed("key", "page_id")
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+        min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id
+    FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p
+"""
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), default_tokenizer(), keep_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"))
+
+
 def op9_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
     read = rans.round_trip(table(spark, folder, "documents"), default_tokenizer(), VOCABULARY)
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -29,8 +54,10 @@ def op10_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_segment_reassembly": op3_segment_reassembly,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op8_distribution_divergence": op8_distribution_divergence,
     "op9_rans_tokens": op9_rans_tokens,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op3_segment_reassembly": OP3_SQL}
