@@ -5,14 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, packing, quality, rans, warc
-from screenlake.llm.common import default_tokenizer, table
+from screenlake.llm import bpe, packing, quality, rans, substring, warc
+from screenlake.llm.common import default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
 #: Ids of the default tokenizer file: 50,256 of its model and one special token.
 VOCABULARY = 50_257
 
 
+def op2_count_min_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substring.remove_repeats(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", sha256_hex("text").alias("kept_sha256"))
+
+
+OP2_SQL = r"""
+WITH d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), w AS (
+    SELECT doc_id, s, array_to_string(ws[s:s + 19], ' ') AS window_text
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 19)) AS s FROM d WHERE len(ws) >= 20)
+), later AS (
+    SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY window_text ORDER BY doc_id, s) AS nth FROM w) WHERE nth > 1
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS place FROM later
+), words AS (
+    SELECT doc_id, unnest(ws) AS word, unnest(generate_series(1, len(ws))) AS place FROM d
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op3_segment_reassembly(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "archives")
     warc.write_archives(table(spark, folder, "pages"), archives)
@@ -54,10 +79,11 @@ def op10_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_count_min_substrings": op2_count_min_substrings,
     "op3_segment_reassembly": op3_segment_reassembly,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op8_distribution_divergence": op8_distribution_divergence,
     "op9_rans_tokens": op9_rans_tokens,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
-ORACLES = {"op3_segment_reassembly": OP3_SQL}
+ORACLES = {"op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
