@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, packing, quality, rans, substring, warc
+from screenlake.llm import bpe, minhash, packing, quality, rans, substring, warc
 from screenlake.llm.common import default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
@@ -63,6 +63,33 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op7_chosen_path_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
+OP7_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(1, len(ws) - 4))) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+    SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id
+), pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), edges AS (
+    SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * shared >= 85 * (p.n_shingles + q.n_shingles - shared)
+), reach AS (
+    SELECT doc_id AS x, doc_id AS y FROM d UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x
+), c AS (
+    SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x
+)
+SELECT doc_id, coalesce(n_shingles, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
+"""
+
+
 def op8_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"))
 
@@ -82,8 +109,9 @@ QUERIES = {
     "op2_count_min_substrings": op2_count_min_substrings,
     "op3_segment_reassembly": op3_segment_reassembly,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_chosen_path_minhash": op7_chosen_path_minhash,
     "op8_distribution_divergence": op8_distribution_divergence,
     "op9_rans_tokens": op9_rans_tokens,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
-ORACLES = {"op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
+ORACLES = {"op7_chosen_path_minhash": OP7_SQL, "op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
