@@ -44,7 +44,7 @@ def per_task(frame: DataFrame, run: Callable[[pa.Table], pa.RecordBatch | None],
 
 
 def block_tasks(frame: DataFrame, group: str, member: str, blocks: str) -> DataFrame:
-    """Adds ``task``: a group of one block is one task, others are dealt to one task per pair of blocks.
+    """Adds ``task`` (and ``own_block``, ``other_block``): a group of one block is one task, others are dealt to one task per pair of blocks.
 
     Every pair of members meets in a task, and no task holds more than two blocks.
     """
@@ -52,7 +52,7 @@ def block_tasks(frame: DataFrame, group: str, member: str, blocks: str) -> DataF
     other = F.filter(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1), lambda b: (F.col(blocks) == 1) | (b != own))
     frame = frame.withColumn("own_block", own).withColumn("other_block", F.explode(other))
     pair = [F.least("own_block", "other_block"), F.greatest("own_block", "other_block")]
-    return frame.withColumn("task", F.xxhash64(group, *pair)).drop("own_block", "other_block")
+    return frame.withColumn("task", F.xxhash64(group, *pair))
 
 
 class Forest:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, minhash, packing, quality, rans, substring, warc
+from screenlake.llm import bpe, minhash, packing, quality, rans, substring, vectors, warc
 from screenlake.llm.common import default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
@@ -63,6 +63,10 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op6_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
 def op7_chosen_path_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -109,6 +113,7 @@ QUERIES = {
     "op2_count_min_substrings": op2_count_min_substrings,
     "op3_segment_reassembly": op3_segment_reassembly,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_spherical_cells": op6_spherical_cells,
     "op7_chosen_path_minhash": op7_chosen_path_minhash,
     "op8_distribution_divergence": op8_distribution_divergence,
     "op9_rans_tokens": op9_rans_tokens,
