@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, minhash, packing, quality, rans, substring, vectors, warc
+from screenlake.llm import bpe, minhash, packing, pii, quality, rans, substring, vectors, warc
 from screenlake.llm.common import default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
@@ -13,6 +13,11 @@ from screenlake.session import scratch_path
 VOCABULARY = 50_257
 
 
+def op1_disclosure_sanitise(spark: SparkSession, folder: str) -> DataFrame:
+    clean = pii.sanitise(table(spark, folder, "documents"))
+    return clean.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", sha256_hex("base").alias("base_sha256"), "spans")
+
+
 def op2_count_min_substrings(spark: SparkSession, folder: str) -> DataFrame:
     kept = substring.remove_repeats(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", sha256_hex("text").alias("kept_sha256"))
@@ -110,6 +115,7 @@ def op10_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_disclosure_sanitise": op1_disclosure_sanitise,
     "op2_count_min_substrings": op2_count_min_substrings,
     "op3_segment_reassembly": op3_segment_reassembly,
     "op5_best_fit_packing": op5_best_fit_packing,
