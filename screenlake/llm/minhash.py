@@ -68,7 +68,7 @@ def slices(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterat
 
 
 def signatures(frame: DataFrame, width: int) -> DataFrame:
-    """(key, n_shingles, one, two, signature) of (key, text) rows."""
+    """(key, tie, n_shingles, one, two, signature) of (key, text, tie) rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,10 +83,10 @@ def signatures(frame: DataFrame, width: int) -> DataFrame:
                         values = ((shingles ^ seed) * (seed | np.uint64(1))) >> np.uint64(32)
                         least[full, place] = np.minimum.reduceat(values, starts[full])
                 signature = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * PLACES), pa.array(least.view(np.int32).ravel()))
-                columns = [part.column(0), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), signature]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n_shingles", "one", "two", "signature"])
+                columns = [part.column(0), part.column(2), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), signature]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "tie", "n_shingles", "one", "two", "signature"])
 
-    return frame.mapInArrow(run, "key long, n_shingles long, one long, two long, signature array<int>")
+    return frame.mapInArrow(run, "key long, tie long, n_shingles long, one long, two long, signature array<int>")
 
 
 def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int) -> DataFrame:
@@ -169,22 +169,22 @@ def near_duplicates(
     docs: DataFrame, percent: int = 85, width: int = 5, trees: int = 4, node_limit: int = 1000, depth: int = 10,
     shingles_per_block: int = 2_000_000, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
-    """(key, n_shingles, component_id, kept): components of links with Jaccard similarity of ``percent`` or more.
+    """(key, n_shingles, component_id, kept, tie, chosen): components of links with Jaccard similarity of ``percent`` or more.
 
-    Rows with equal sets are linked. ``component_id`` is the smallest key reachable; null keys are passed over
-    (null if there is no other), and such rows are not kept unless alone. Rows without words link with nothing
+    ``tie`` is a hash of the text and ``chosen`` marks one (key, tie) of each component, the smallest. Rows with equal sets are linked. ``component_id`` is the smallest key reachable, null if all are null. Rows without words link with nothing
     and are their own component. Rows that repeat a key share what any of them is linked to only through their
     texts. An empty table gives no rows; other columns are not read.
     """
     frame = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
+    frame = frame.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = written(signatures(frame, width), "signatures")
-    classes = signed.where("n_shingles > 0").groupBy("one", "two").agg(F.min("key").alias("first"), F.min("signature").alias("signature"), F.first("n_shingles").alias("n"))
+    classes = signed.where("n_shingles > 0").groupBy("one", "two").agg(F.min(_place()).alias("place"), F.min("signature").alias("signature"), F.first("n_shingles").alias("n"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     groups = written(components(candidate_edges(classes.select("cid", "signature"), trees, node_limit, depth)), "groups")
-    members = classes.join(groups.withColumnRenamed("id", "cid"), "cid").select("cid", "one", "two", "first", "n", "component")
+    members = classes.join(groups.withColumnRenamed("id", "cid"), "cid").select("cid", "one", "two", F.col("place.key").alias("key"), "n", "component")
     members = written(members, "members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / shingles_per_block).alias("blocks"))
-    wanted = members.join(sizes, "component").select("cid", "one", "two", F.col("first").alias("key"), "component", "blocks")
+    wanted = members.join(sizes, "component").select("cid", "one", "two", "key", "component", "blocks")
 
     def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,10 +211,18 @@ def near_duplicates(
         return pa.RecordBatch.from_arrays([pa.array(cids[moved]), pa.array(cids[root[moved]])], ["a", "b"])
 
     linked = components(per_task(tasks, confirm, "a long, b long"))
-    linked = classes.select("cid", "one", "two", "first").join(linked.withColumnRenamed("id", "cid"), "cid", "left")
+    linked = classes.select("cid", "one", "two", "place").join(linked.withColumnRenamed("id", "cid"), "cid", "left")
     linked = linked.withColumn("component", F.coalesce("component", "cid"))
-    smallest = linked.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = written(linked.join(smallest, "component").select("one", "two", "component_id"), "named")
-    result = signed.select("key", "n_shingles", "one", "two").join(named, ["one", "two"], "left")
-    result = result.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("key")))
-    return result.select(F.col("key").alias(key), "n_shingles", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))
+    smallest = linked.groupBy("component").agg(F.min("place").alias("least"))
+    named = written(linked.join(smallest, "component").select("one", "two", "least"), "named")
+    result = signed.select("key", "tie", "n_shingles", "one", "two").join(named, ["one", "two"], "left")
+    result = result.withColumn("least", F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(_place()))
+    return result.select(
+        F.col("key").alias(key), "n_shingles", F.col("least.key").alias("component_id"), F.col("key").eqNullSafe(F.col("least.key")).alias("kept"),
+        "tie", (F.col("least") == _place()).alias("chosen"),
+    )
+
+
+def _place() -> F.Column:
+    """Order of rows: by key, null keys last, then by the hash of the text."""
+    return F.struct(F.col("key").isNull().alias("unknown"), "key", "tie")

@@ -40,18 +40,19 @@ def repeated_words(words: Column, n: int = 3) -> Column:
     return F.sort_array(keyed)
 
 
-def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """(key, lang, n_chars, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, chars, commons) per row."""
+def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(key, carry, lang, n_chars, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, chars, commons) per row."""
     known = F.col(lang).isin(*COMMON)
     frame = docs.select(
         F.col(key).alias("key"),
+        F.struct(F.lit(0), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)]).alias("carry"),
         F.when(known, F.col(lang)).otherwise(OTHER).alias("lang"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     frame = frame.withColumn("words", F.array_remove(F.split("text", SPACE), ""))
     lines = F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     frame = frame.select(
-        "key", "lang", "words", F.col("text").alias("left0"), F.length("text").cast("long").alias("n_chars"),
+        "key", "carry", "lang", "words", F.col("text").alias("left0"), F.length("text").cast("long").alias("n_chars"),
         F.size("words").cast("long").alias("n_words"), lines.alias("lines"), repeated_words(F.col("words")).alias("windows"),
     )
     for i, rule in enumerate(CLASSES):
@@ -66,11 +67,11 @@ def profile(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str
         lambda x, j: (F.get(F.col("windows"), j - 1)["k"] == x["k"]) | (F.get(F.col("windows"), j + 1)["k"] == x["k"]),
     )
     return frame.select(
-        "key", "lang", "n_chars", "n_words", (sizes[0] - (sizes[1] - sizes[2])).cast("long").alias("word_chars"), chars.alias("chars"),
+        "key", "carry", "lang", "n_chars", "n_words", (sizes[0] - (sizes[1] - sizes[2])).cast("long").alias("word_chars"), chars.alias("chars"),
         (sizes[5] - sizes[6]).cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         common.alias("common"), again["i"].alias("again"),
     ).select(
-        "key", "lang", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+        "key", "carry", "lang", "n_chars", "n_words", "word_chars", "n_symbols", "n_dup_lines",
         F.size(F.array_distinct(F.flatten(F.transform("again", lambda i: F.array(i, i + 1, i + 2))))).cast("long").alias("n_repeat_words"),
         "chars", _histogram(F.transform("common", F.lower), F.col("lang"), F.col("n_words")).alias("commons"),
     )
@@ -110,9 +111,10 @@ def js_distance(counts: Column, reference: Column) -> Column:
 def judge(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", min_words: int = 50, max_repeat: int = 50,
     char_limit: float = 0.3, word_limit: float = 0.3, min_chars: int = 300, min_common_words: int = 80,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Adds the verdict to every row: key, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    char_distance, word_distance, base_failed, kept.
+    char_distance, word_distance, base_failed, kept, and the columns to ``carry``.
 
     ``base_failed``: fewer than ``min_words`` words, or more than ``max_repeat`` percent of them in repeated
     3-word windows. Otherwise a row is kept unless the character distance is above ``char_limit`` (texts of at
@@ -121,7 +123,7 @@ def judge(
     of all such texts, without words. Repeated rows are judged each; null keys stay null; an empty table gives
     no rows; other columns are not read.
     """
-    profiles = written(profile(docs, key, text, lang), "profiles")
+    profiles = written(profile(docs, key, text, lang, carry), "profiles")
     frame = profiles.join(F.broadcast(references(profiles)), "lang")
     frame = frame.withColumn("char_distance", js_distance(F.col("chars"), F.col("char_reference")))
     frame = frame.withColumn("word_distance", js_distance(F.col("commons"), F.col("word_reference")))
@@ -131,4 +133,5 @@ def judge(
     return frame.select(
         F.col("key").alias(key), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "char_distance", "word_distance",
         failed.alias("base_failed"), (~failed & ~odd_chars & ~odd_words).alias("kept"),
+        *[F.col(f"carry.c{i}").alias(c) for i, c in enumerate(carry)],
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, minhash, packing, pii, quality, rans, substring, vectors, warc
+from screenlake.llm import bpe, minhash, packing, pii, puscore, quality, rans, substring, vectors, warc
 from screenlake.llm.common import default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
@@ -63,6 +63,10 @@ FROM p
 """
 
 
+def op4_positive_unlabelled(spark: SparkSession, folder: str) -> DataFrame:
+    return puscore.quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), default_tokenizer(), keep_ids=False)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -73,7 +77,7 @@ def op6_spherical_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_chosen_path_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, folder, "documents"))
+    return minhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 OP7_SQL = r"""
@@ -118,6 +122,7 @@ QUERIES = {
     "op1_disclosure_sanitise": op1_disclosure_sanitise,
     "op2_count_min_substrings": op2_count_min_substrings,
     "op3_segment_reassembly": op3_segment_reassembly,
+    "op4_positive_unlabelled": op4_positive_unlabelled,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_spherical_cells": op6_spherical_cells,
     "op7_chosen_path_minhash": op7_chosen_path_minhash,
