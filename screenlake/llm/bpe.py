@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import heapq
 import json
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from screenlake.llm.common import text_slices
-from screenlake.llm.tokens import CachedEncoder
+from screenlake.llm.tokens import SIMPLE, UNPRINTABLE, CachedEncoder
 
 #: Pre-token rule of byte-level tokenizers (fixed values).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -30,9 +32,7 @@ PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 
 def byte_letters() -> list[str]:
     """The printable letter that stands for each byte: itself if printable, else the next free one from 256 on."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
+    return [chr(256 + UNPRINTABLE.index(b)) if b in UNPRINTABLE else chr(b) for b in range(256)]
 
 
 class Vocabulary:
@@ -111,19 +111,32 @@ def encode_index(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     return out
 
 
+@lru_cache(maxsize=1)
 def index_encoder(path: str) -> CachedEncoder:
     """Cached encoder whose new words go through the pair occurrence index together."""
     vocabulary = Vocabulary(path)
+    known: dict[str, bytes] = {}
+
+    def cut(word: str) -> list[str]:
+        simple = SIMPLE(word)
+        if simple:
+            space, stem, marks = simple.groups()
+            return [space + stem, marks] if marks else [space + stem]
+        if not any(token in word for token in vocabulary.special):
+            return PRETOKEN.findall(word)
+        parts = vocabulary.special_rule.split(word)
+        return [token for part in parts for token in ([part] if part in vocabulary.special else PRETOKEN.findall(part))]
 
     def encode_words(words: list[str]) -> list[bytes]:
-        cut = []
-        for word in words:
-            parts = vocabulary.special_rule.split(word) if vocabulary.special_rule else [word]
-            cut.append([token for part in parts for token in ([part] if part in vocabulary.special else PRETOKEN.findall(part))])
-        distinct = list({token for tokens in cut for token in tokens if token not in vocabulary.special})
-        ids = {token: np.asarray(found, "<u4").tobytes() for token, found in zip(distinct, encode_index([t.encode() for t in distinct], vocabulary))}
-        ids |= {token: np.asarray([i], "<u4").tobytes() for token, i in vocabulary.special.items()}
-        return [b"".join([ids[token] for token in tokens]) for tokens in cut]
+        tokens = [cut(word) for word in words]
+        fresh = list({token for each in tokens for token in each}.difference(known))
+        if len(known) + len(fresh) > 200_000:
+            known.clear()
+            fresh = list({token for each in tokens for token in each})
+        special = vocabulary.special
+        found = encode_index([b"" if t in special else t.encode() for t in fresh], vocabulary)
+        known.update((t, array("I", [special[t]] if t in special else ids).tobytes()) for t, ids in zip(fresh, found))
+        return [b"".join([known[token] for token in each]) for each in tokens]
 
     return CachedEncoder(encode_words)
 

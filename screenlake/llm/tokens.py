@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 
 #: Cut points that are pre-token borders for every byte-level rule set in use: one space between two non-spaces.
 BORDER = re.compile(r"(?<=\S) (?=\S)")
+#: Bytes that byte-level vocabularies write as letters from U+0100 on, in order.
+UNPRINTABLE = [*range(33), *range(127, 161), 173]
 DOUBLE = re.compile(r"\s\s")
 
 
@@ -32,7 +35,7 @@ class CachedEncoder:
     ``encode_words`` maps strings to id bytes; the cache starts anew at ``limit`` words.
     """
 
-    def __init__(self, encode_words, limit: int = 500_000):
+    def __init__(self, encode_words, limit: int = 700_000):
         self.encode_words, self.limit = encode_words, limit
         self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
@@ -56,16 +59,51 @@ class CachedEncoder:
         return out
 
 
+#: A word of letters up to U+00FF with a leading space or none and closing marks: at most two pre-tokens.
+SIMPLE = re.compile(r"( ?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)").fullmatch
+
+
+@lru_cache(maxsize=1)
 def library_encoder(path: str) -> CachedEncoder:
-    """Encoder by the tokenizers library: no special tokens added, no truncation, no padding."""
+    """Encoder by the tokenizers library: no special tokens added, no truncation, no padding.
+
+    Simple words go to the library's model as one or two pre-tokens, each distinct one once while it is cached;
+    all others go through the whole library. One encoder serves all tasks of a worker.
+    """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    tokenize = tokenizer.model.tokenize
+    letters = {ord(c): "".join(chr(b) if b not in UNPRINTABLE else chr(256 + UNPRINTABLE.index(b)) for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
+    known: dict[str, bytes] = {}
+
+    def pre_token(text: str) -> bytes:
+        found = known.get(text)
+        if found is None:
+            if len(known) >= 400_000:
+                known.clear()
+            found = known[text] = array("I", [token.id for token in tokenize(text)]).tobytes()
+        return found
 
     def encode_words(words: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        out, others = [], []
+        for word in words:
+            cut = SIMPLE(word)
+            if cut is None:
+                others.append(len(out))
+                out.append(b"")
+                continue
+            space, stem, marks = cut.groups()
+            stem = stem if stem.isascii() else stem.translate(letters)
+            ids = pre_token("\u0120" + stem if space else stem)
+            out.append(ids + pre_token(marks) if marks else ids)
+        for start in range(0, len(others), 1000):
+            places = others[start : start + 1000]
+            for place, coded in zip(places, tokenizer.encode_batch_fast([words[i] for i in places], add_special_tokens=False)):
+                out[place] = array("I", coded.ids).tobytes()
+        return out
 
     return CachedEncoder(encode_words)
 
