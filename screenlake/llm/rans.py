@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,12 +107,12 @@ class Coder:
         return out
 
 
-def frame_block(coder: Coder, lanes: int, part: int, start: int, keys: list, rows: list[bytes]) -> bytes:
+def frame_block(coder: Coder, lanes: int, part: int, start: int, keys: list, rows: list[np.ndarray]) -> bytes:
     """One block: header, keys and lengths, checkpoints, stream, crc32, line feed."""
-    ids = np.frombuffer(b"".join(rows), "<u4")
+    ids = np.concatenate(rows)
     lanes = max(1, min(lanes, len(ids) // 64 or 1))
     stream, marks = coder.encode(ids, lanes)
-    index = zlib.compress(json.dumps([keys, [len(r) // 4 for r in rows]]).encode(), 1)
+    index = zlib.compress(json.dumps([keys, [len(r) for r in rows]]).encode(), 1)
     checkpoints = b"".join(struct.pack("<QI", at, crc) + states.astype("<u8").tobytes() for at, crc, states in marks)
     payload = struct.pack("<III", len(index), len(marks), len(stream)) + index + checkpoints + stream.astype("<u4").tobytes()
     return HEAD.pack(MAGIC, len(payload), part, len(rows), start, len(ids), lanes) + payload + struct.pack("<I", zlib.crc32(payload)) + b"\n"
@@ -148,15 +149,26 @@ def read_block(coder: Coder, head: tuple, payload: memoryview) -> tuple[list, np
     return keys, np.asarray(lengths, np.int64), np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+def squeezed(ids: bytes) -> bytes:
+    """uint32 ids as zstd-compressed bytes: all low halves, then all high halves."""
+    return zstandard.compress(np.ascontiguousarray(np.frombuffer(ids, "<u2").reshape(-1, 2).T).tobytes(), 1)
+
+
+def spread(data: bytes) -> np.ndarray:
+    """Inverse of ``squeezed``, as an array."""
+    halves = np.frombuffer(zstandard.decompress(data), "<u2").reshape(2, -1).astype(np.uint32)
+    return halves[0] | halves[1] << np.uint32(16)
+
+
 def token_table(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids) of whole texts by the tokenizers library, ``end_id`` appended."""
+    """(key, ids) of whole texts by the tokenizers library, ``end_id`` appended; ids are packed by ``squeezed``."""
     frame = docs.select(docs[key].cast("long").alias("key"), docs[text].cast("string").alias("text"))
     ending = np.asarray([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
         for part, ids in encoded(batches, "text", encoder):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x + ending for x in ids], pa.binary())], ["key", "ids"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([squeezed(x + ending) for x in ids], pa.binary())], ["key", "ids"])
 
     return frame.mapInArrow(run, "key long, ids binary")
 
@@ -168,7 +180,7 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
             for ids in batch.column(0):
-                numbers = np.frombuffer(ids.as_py(), "<u4")
+                numbers = spread(ids.as_py())
                 if len(numbers):
                     found = np.bincount(numbers, minlength=vocabulary)
                     if len(found) > vocabulary:
@@ -209,14 +221,14 @@ def write_ids(
 
         for batch in batches:
             for key_, ids in zip(batch.column(0), batch.column(1)):
-                data = ids.as_py()
-                if rows and size + len(data) // 4 > ids_per_block:
+                data = spread(ids.as_py())
+                if rows and size + len(data) > ids_per_block:
                     yield block()
                     start += size
                     keys, rows, size = [], [], 0
                 keys.append(key_.as_py())
                 rows.append(data)
-                size += len(data) // 4
+                size += len(data)
         if rows:
             yield block()
 
