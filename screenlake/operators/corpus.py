@@ -174,8 +174,9 @@ def count_tokens(df: DataFrame, end_marker: bool = False) -> DataFrame:
 
 
 def limit_tokens(df: DataFrame, max_input: int, max_output: int) -> DataFrame:
-    """Rows with both counts at or under their limit."""
-    return df.filter((F.col("token_count") <= max_input) & (F.col("token_count_correct") <= max_output))
+    """Rows with both counts at or under their limit; a missing text counts as 0 tokens."""
+    count = lambda column: F.coalesce(F.col(column), F.lit(0))
+    return df.filter((count("token_count") <= max_input) & (count("token_count_correct") <= max_output))
 
 
 def augment(
@@ -195,9 +196,9 @@ def augment(
 ) -> DataFrame:
     """Adds tasks, writes them when asked, drops long rows, and orders the rest by seed (``position``).
 
-    Counting tokens is the costly part, so the counts are written once as a
-    narrow table. The limits and the order work on that table, and each row's
-    text joins it by key.
+    The grown table is written once, with its counts and a row number. The
+    limits and the order work on the narrow columns, and each kept row's text
+    joins them by that number, so repeated and missing keys do no harm.
     """
     grown = add_tasks(df, predictor, correctness_ratio, fix_ratio, classification, key, seed, name)
     if write_to and AUGMENTED_MARK not in name and (correctness_ratio or fix_ratio or classification):
@@ -205,9 +206,12 @@ def augment(
     row = [key, "task"]
     if not filter_tokens:
         return index.permute(grown, row, seed) if shuffle else grown
-    counts = count_tokens(grown).select(*row, "token_count", "token_count_correct")
-    kept = limit_tokens(materialize(counts, "counts"), max_input, max_output)
-    return grown.join(index.permute(kept, row, seed) if shuffle else kept, row)
+    numbered = materialize(count_tokens(grown).withColumn("_row", F.monotonically_increasing_id()), "grown")
+    kept = limit_tokens(numbered, max_input, max_output)
+    if not shuffle:
+        return kept.drop("_row")
+    order = index.permute(kept.select("_row", *row), row, seed).select("_row", "position")
+    return kept.join(order, "_row").drop("_row")
 
 
 # ------------------------------------------------------------------ evaluation

@@ -40,19 +40,20 @@ def _tagged(tokens: Column, field: str) -> Column:
 def encode(
     df: DataFrame,
     key: str,
-    fields: Mapping[str, tuple[str | Column, int]],
+    fields: Mapping[str, tuple[str | Column, int | None]],
     vocab: DataFrame,
     end_marker: bool = False,
 ) -> DataFrame:
     """``key`` plus ``<field>_ids`` and ``<field>_mask``, all ``ARRAY<INT>`` of fixed length.
 
-    ``fields`` maps an output name to its text and length; all fields share one
-    pass. Rows are cut to length before they are exploded, so what is gathered
+    ``fields`` maps an output name to its text and length; with no length a
+    field is neither cut nor padded. A missing text has no tokens. All fields
+    share one pass. Rows are cut to length before they are exploded, so what is gathered
     again per row is at most the fields' lengths. A written vocabulary is
     broadcast when it is small; when it is not, the join splits hot words.
     """
-    keep = {name: length - int(end_marker) for name, (_, length) in fields.items()}
-    tokens = [_tagged(words(text, keep[name]), name) for name, (text, _) in fields.items()]
+    keep = {name: None if length is None else length - int(end_marker) for name, (_, length) in fields.items()}
+    tokens = [_tagged(F.coalesce(words(text, keep[name]), F.array().cast("array<string>")), name) for name, (text, _) in fields.items()]
     flat = df.select(key, F.explode_outer(F.concat(*tokens)).alias("t")).select(key, "t.*")
     known = vocab.filter(~F.col("special")).select("token", "id")
     found = flat.join(known, "token", "left").withColumn("id", F.coalesce("id", F.lit(UNKNOWN)))
@@ -64,8 +65,9 @@ def encode(
         ids = F.transform(name, lambda x: x["id"])
         if end_marker:
             ids = F.concat(ids, F.array(F.lit(END)))
-        columns.append(pad_to(ids, length).alias(f"{name}_ids"))
-        columns.append(pad_to(F.transform(ids, lambda x: F.lit(1)), length, 0).alias(f"{name}_mask"))
+        mask = F.transform(ids, lambda x: F.lit(1))
+        columns.append((ids if length is None else pad_to(ids, length)).alias(f"{name}_ids"))
+        columns.append((mask if length is None else pad_to(mask, length, 0)).alias(f"{name}_mask"))
     return gathered.select(key, *columns)
 
 

@@ -12,9 +12,6 @@ from screenlake.session import materialize
 # The named cell states, in output order; the last also takes every unknown state.
 STATES = ["progenitor", "effector", "terminal exhausted", "cycling", "other"]
 
-# Up to this many features a dense row is built by plain sums.
-NARROW = 64
-
 
 def _named(name: str) -> str:
     return name.replace(" ", "_")
@@ -115,13 +112,17 @@ def positions_of(genes: DataFrame, wanted: list[str], gene: str = "gene", gene_i
 
 
 def drop_features(matrix: DataFrame, features: DataFrame, key: str = "gene_idx") -> DataFrame:
-    """Matrix entries outside a feature set."""
-    return matrix.join(features.select(key).distinct(), key, "left_anti")
+    """Matrix entries outside a feature set.
+
+    The set is written first, so Spark knows its size and leaves the matrix
+    unshuffled while it can be broadcast.
+    """
+    return matrix.join(materialize(features.select(key).distinct(), "features"), key, "left_anti")
 
 
 def select_features(matrix: DataFrame, features: DataFrame, key: str = "gene_idx") -> DataFrame:
-    """Matrix entries inside a feature set."""
-    return matrix.join(features.select(key).distinct(), key, "left_semi")
+    """Matrix entries inside a feature set (written first, as above)."""
+    return matrix.join(materialize(features.select(key).distinct(), "features"), key, "left_semi")
 
 
 def sum_entries(matrix: DataFrame, cell: str = "cell_id", feature: str = "gene_idx", value: str = "value") -> DataFrame:
@@ -140,17 +141,13 @@ def densify(
 ) -> DataFrame:
     """One dense ``ARRAY<DOUBLE>`` per cell; repeated entries add up, cells without entries are all zeros.
 
-    A narrow row is a handful of sums in one aggregate. A wide one first adds
-    up repeats and then gathers a list that is never longer than the row.
+    Repeats are added up first, so the list that is gathered per cell is never
+    longer than the row. Entries outside ``0..width-1`` are dropped, and a null
+    value counts as 0.
     """
-    if width <= NARROW:
-        sums = [F.sum(F.when(F.col(feature) == i, F.col(value).cast("double"))) for i in range(width)]
-        rows = matrix.groupBy(cell).agg(*[F.coalesce(s, F.lit(0.0)).alias(f"_d{i}") for i, s in enumerate(sums)])
-        rows = rows.select(cell, F.array(*[f"_d{i}" for i in range(width)]).alias(out))
-        zeros = F.array_repeat(F.lit(0.0), width)
-        return cells.join(rows, cell, "left").withColumn(out, F.coalesce(out, zeros))
-    entry = F.struct(F.col(feature).cast("int").alias("i"), F.col(value).cast("double").alias("v"))
-    unique = sum_entries(matrix, cell, feature, value)
+    inside = matrix.filter(F.col(feature).between(0, width - 1))
+    entry = F.struct(F.col(feature).cast("int").alias("i"), F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("v"))
+    unique = sum_entries(inside, cell, feature, value)
     rows = unique.groupBy(cell).agg(F.sort_array(F.collect_list(entry)).alias("_entries"))
     joined = cells.join(rows, cell, "left")
     return joined.withColumn(out, dense_from_entries("_entries", width)).drop("_entries")
@@ -189,7 +186,7 @@ def distinct_positions(df: DataFrame, column: str, out: str = "position") -> Dat
 
 
 def one_hot(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
-    """One-hot ``ARRAY<DOUBLE>`` over the sorted distinct values of ``column``; null for a missing value.
+    """One-hot ``ARRAY<DOUBLE>`` over the sorted distinct values of ``column``; all zeros for a missing value.
 
     The category list is as long as each produced vector, so ordering it in
     one window is in proportion to a single output row.
@@ -198,7 +195,8 @@ def one_hot(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
     spot = F.row_number().over(Window.orderBy(column)) - 1
     width = F.count("*").over(Window.partitionBy())
     placed = materialize(levels.select(column, indicator(spot, width).alias(out)), "levels")
-    return df.join(placed, column, "left").select(*df.columns, out)
+    zeros = F.array_repeat(F.lit(0.0), F.lit(placed.count()))
+    return df.join(placed, column, "left").select(*df.columns, F.coalesce(out, zeros).alias(out))
 
 
 def append_array(df: DataFrame, features: str, extra: str) -> DataFrame:
@@ -224,10 +222,10 @@ def compact_features(
     kept = genes.select(key).distinct()
     if dropped is not None:
         kept = kept.join(dropped.select(key).distinct(), key, "left_anti")
-    spots = kept.withColumn("_spot", F.row_number().over(Window.orderBy(key)) - 1)
+    spots = materialize(kept.withColumn("_spot", F.row_number().over(Window.orderBy(key)) - 1), "spots")
     entries = matrix.join(spots, key)
     columns = [F.col("_spot").alias(key) if c == key else F.col(c) for c in matrix.columns]
-    return entries.select(*columns), kept.count()
+    return entries.select(*columns), spots.count()
 
 
 def training_table(
@@ -247,7 +245,8 @@ def training_table(
     """
     labels = label_table(cells, conditions, states)
     kept = index.three_way(exclude_conditions(cells, excluded), ["cell_id"], seed)
-    entries, width = compact_features(matrix, genes, dropped_features)
+    cell_entries = matrix.join(materialize(kept.select("cell_id").distinct(), "kept"), "cell_id", "left_semi")
+    entries, width = compact_features(cell_entries, genes, dropped_features)
     dense = densify(expand_labels(kept, labels), entries, width)
     stacked = stack(dense, "features", [_named(s) for s in states])
     return zero_to_nan_array(stacked, "features").select("cell_id", "split", "features")

@@ -25,10 +25,17 @@ PREFIX_DIGITS = 4  # hex digits, so 16**4 = 65,536 buckets at most
 
 
 def seeded_hash(seed: str | int | Column, *keys: str | Column) -> Column:
-    """``md5("seed:key[:key..]")``, the same text in any engine."""
+    """``md5("seed:key")``, the same text in any engine.
+
+    Of several keys each is written as ``length_key``, and a missing one as
+    ``-``, so that different keys never give the same text.
+    """
     lead = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    return F.md5(F.concat_ws(":", lead, *[p.cast("string") for p in parts]))
+    texts = [p.cast("string") for p in parts]
+    if len(texts) > 1:
+        texts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit("_"), t), F.lit("-")) for t in texts]
+    return F.md5(F.concat_ws(":", lead, *texts))
 
 
 def _prefix(hashed: str) -> Column:

@@ -13,7 +13,6 @@ from screenlake.functions.text import strip
 from screenlake.operators import index
 
 # Up to this many rows a head is taken by top-k.
-SHORT_HEAD = 100_000
 
 # ------------------------------------------------------------------ accuracies
 
@@ -191,18 +190,17 @@ def scheduled_rows(
 
 
 def head_rows(df: DataFrame, limits: dict[str, int], order: list[str], split: str = "split") -> DataFrame:
-    """First ``min(n, limit)`` rows of each named split.
+    """First ``min(n, limit)`` rows of each split that has a limit; every other split stays whole.
 
-    A short head is a per-task top-k. A long one would meet in one task that
-    way, so its rows are numbered by range instead.
+    Rows of a split are numbered by range, so no head meets in one task.
     """
 
-    def head(part: DataFrame, limit: int) -> DataFrame:
-        if limit <= SHORT_HEAD:
-            return part.orderBy(*order).limit(limit)
-        return index.global_index(part, order, "_i").filter(F.col("_i") < limit).drop("_i")
+    def head(value: str, limit: int) -> DataFrame:
+        part = index.global_index(df.filter(F.col(split) == value), order, "_i")
+        return part.filter(F.col("_i") < limit).drop("_i")
 
-    return reduce(DataFrame.unionByName, [head(df.filter(F.col(split) == s), m) for s, m in limits.items()])
+    whole = df.filter(F.col(split).isNull() | ~F.col(split).isin(list(limits)))
+    return reduce(DataFrame.unionByName, [head(s, m) for s, m in limits.items()], whole)
 
 
 # -------------------------------------------------------------------- reports

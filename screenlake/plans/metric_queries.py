@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from screenlake.functions.arrays import log_softmax
+from screenlake.functions.arrays import log_softmax, total
 from screenlake.functions.losses import sigmoid_class
 from screenlake.operators import features, index, metrics
 from screenlake.plans import bindings as b
@@ -121,8 +121,9 @@ def mean_of_batch_ratios(spark, sf_dir):
 @query(
     "soft_target_ce",
     f"""WITH labels AS ({b.proportions_sql()}),
-        x AS (SELECT vec_id, embedding[1]::DOUBLE AS a, embedding[2]::DOUBLE AS b, embedding[3]::DOUBLE AS c,
-                     embedding[4]::DOUBLE AS d, embedding[5]::DOUBLE AS e FROM embeddings),
+        e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, (generate_subscripts(embedding, 1) - 1) % 5 AS k FROM embeddings),
+        x AS (SELECT vec_id, sum(v) FILTER (k = 0) AS a, sum(v) FILTER (k = 1) AS b, sum(v) FILTER (k = 2) AS c,
+                     sum(v) FILTER (k = 3) AS d, sum(v) FILTER (k = 4) AS e FROM e GROUP BY vec_id),
         r AS (SELECT *, ln(exp(a) + exp(b) + exp(c) + exp(d) + exp(e)) AS norm,
                      row_number() OVER (ORDER BY md5('42:' || vec_id)) AS rn, count(*) OVER () AS n
               FROM x JOIN labels ON condition = vec_id)
@@ -132,8 +133,10 @@ def mean_of_batch_ratios(spark, sf_dir):
 )
 def soft_target_ce(spark, sf_dir):
     labels = features.state_proportions(b.cells(spark, sf_dir), states=b.STATES)
+    # All places of a vector, folded onto one score per state.
+    fold = lambda k: total(F.filter("embedding", lambda _, i: i % len(b.STATES) == k))
     outputs = b.table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("condition"), F.slice("embedding", 1, len(b.STATES)).alias("scores")
+        F.col("vec_id").alias("condition"), F.array(*[fold(k) for k in range(len(b.STATES))]).alias("scores")
     )
     rows = outputs.join(labels, "condition").withColumn("targets", F.array(*b.STATES))
     masked = index.split_masks(rows, ["condition"], 0.2)

@@ -14,7 +14,8 @@ from screenlake.plans import bindings as b
 from screenlake.plans.metric_queries import token_scores
 from screenlake.plans.registry import query
 
-LENGTH = 64
+# Longest encoded source and target, in tokens.
+SOURCE, TARGET = 3600, 500
 
 
 def _docs(spark, sf_dir, *columns):
@@ -84,9 +85,9 @@ VOCAB_SQL = r"""
         SELECT DISTINCT unnest(regexp_extract_all("text", '\S+')) AS token FROM benchmark))"""
 
 
-def ids_sql(length: int) -> str:
+def ids_sql(length: int | None = None) -> str:
     return rf"""{VOCAB_SQL},
-    cut AS (SELECT doc_id, regexp_extract_all("text", '\S+')[1:{length}] AS t FROM documents),
+    cut AS (SELECT doc_id, regexp_extract_all("text", '\S+')[1:{length or ''}] AS t FROM documents),
     flat AS (SELECT doc_id, generate_subscripts(t, 1) AS pos, unnest(t) AS token FROM cut),
     coded AS (SELECT doc_id, list(coalesce(id, 2) ORDER BY pos) AS ids, list(token ORDER BY pos) FILTER (id IS NOT NULL)
               AS known FROM flat LEFT JOIN vocab USING (token) GROUP BY doc_id),
@@ -104,38 +105,38 @@ def _joined(column):
 
 @query(
     "encode_pad",
-    f"""WITH {ids_sql(LENGTH)} SELECT doc_id, array_to_string(list_resize(ids, {LENGTH}, 0), ' ') AS input_ids,
-        array_to_string(list_resize(list_transform(ids, lambda x: 1), {LENGTH}, 0), ' ') AS attention_mask FROM rows_""",
+    f"""WITH {ids_sql(SOURCE)} SELECT doc_id, array_to_string(list_resize(ids, {SOURCE}, 0), ' ') AS input_ids,
+        array_to_string(list_resize(list_transform(ids, lambda x: 1), {SOURCE}, 0), ' ') AS attention_mask FROM rows_""",
 )
 def encode_pad(spark, sf_dir):
-    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", LENGTH)}, _vocab(spark, sf_dir))
+    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", SOURCE)}, _vocab(spark, sf_dir))
     return coded.select("doc_id", _joined("x_ids").alias("input_ids"), _joined("x_mask").alias("attention_mask"))
 
 
 @query(
     "shift_right",
-    f"""WITH {ids_sql(LENGTH)} SELECT doc_id, '0 ' || array_to_string(list_resize(ids, {LENGTH}, 0)[1:{LENGTH - 1}], ' ')
-        AS decoder_input_ids, array_to_string(list_resize(ids, {LENGTH}, 0), ' ') AS labels FROM rows_""",
+    f"""WITH {ids_sql(TARGET)} SELECT doc_id, '0 ' || array_to_string(list_resize(ids, {TARGET}, 0)[1:{TARGET - 1}], ' ')
+        AS decoder_input_ids, array_to_string(list_resize(ids, {TARGET}, 0), ' ') AS labels FROM rows_""",
 )
 def shift_right(spark, sf_dir):
     docs = _docs(spark, sf_dir, F.col("text").alias("summary"), F.col("source").alias("text"))
-    coded = encoding.encode_pairs(docs, "doc_id", _vocab(spark, sf_dir), 8, LENGTH)
+    coded = encoding.encode_pairs(docs, "doc_id", _vocab(spark, sf_dir), SOURCE, TARGET)
     return coded.select("doc_id", _joined("decoder_input_ids").alias("decoder_input_ids"), _joined("labels").alias("labels"))
 
 
-@query("decode_ids", f"WITH {ids_sql(LENGTH)} SELECT doc_id, array_to_string(known, ' ') AS \"text\" FROM rows_")
+@query("decode_ids", f"WITH {ids_sql()} SELECT doc_id, array_to_string(known, ' ') AS \"text\" FROM rows_")
 def decode_ids(spark, sf_dir):
     vocab = _vocab(spark, sf_dir)
-    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", LENGTH)}, vocab)
+    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", None)}, vocab)
     return encoding.decode(coded, "doc_id", "x_ids", vocab)
 
 
 @query(
     "mean_gen_len",
-    rf"""SELECT avg(least(len(regexp_extract_all("text", '\S+')), {LENGTH})) AS gen_len FROM documents""",
+    rf"""SELECT avg(len(regexp_extract_all("text", '\S+'))) AS gen_len FROM documents""",
 )
 def mean_gen_len(spark, sf_dir):
-    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", LENGTH)}, _vocab(spark, sf_dir))
+    coded = encoding.encode(_docs(spark, sf_dir, "text"), "doc_id", {"x": ("text", None)}, _vocab(spark, sf_dir))
     return metrics.mean_length(coded, "x_ids", encoding.PAD)
 
 
@@ -219,7 +220,7 @@ def classification_task(spark, sf_dir):
         counted AS (SELECT *, len(regexp_extract_all(prompt, '\S+')) AS token_count,
                            len(regexp_extract_all(correct_answer, '\S+')) AS token_count_correct FROM grown)
         SELECT row_id, task, prompt, correct_answer, token_count, token_count_correct,
-               row_number() OVER (ORDER BY md5('42:' || row_id || ':' || task)) - 1 AS position
+               row_number() OVER (ORDER BY md5('42:' || len(row_id::VARCHAR) || '_' || row_id || ':' || len(task) || '_' || task)) - 1 AS position
         FROM counted WHERE token_count <= 400 AND token_count_correct <= 50""",
 )
 def augment_tasks(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -40,7 +41,7 @@ def scratch_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = context.getCheckpointDir()
     if root is None:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="screenlake-")
         context.setCheckpointDir(root)

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PAIR_SCHEMA = "row_id BIGINT, id STRING, path_data STRING, prompt STRING, correct_answer STRING"
 LINKS_SCHEMA = "protein1 STRING, protein2 STRING"
@@ -36,7 +37,11 @@ def resolve_path(name: str, folder: str = "") -> str:
 
 
 def read_csv(spark: SparkSession, name: str, schema: str, folder: str = "") -> DataFrame:
-    return spark.read.options(**CSV_OPTIONS).schema(schema).csv(resolve_path(name, folder))
+    """The columns of ``schema`` by the file's header, in their types; further columns follow as strings."""
+    text = spark.read.options(**CSV_OPTIONS).csv(resolve_path(name, folder))
+    wanted = {f.name: f.dataType for f in StructType.fromDDL(schema)}
+    further = [c for c in text.columns if c not in wanted]
+    return text.select(*[F.col(f"`{c}`").try_cast(t).alias(c) for c, t in wanted.items()], *[F.col(f"`{c}`") for c in further])
 
 
 def file_format(path: str) -> str:

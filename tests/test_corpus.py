@@ -81,7 +81,7 @@ def test_tasks_need_a_predictor(pairs):
 def test_token_limits_are_inclusive(spark):
     df = spark.createDataFrame([("a b", "c"), ("a b c", "c"), ("a", "c d"), ("a", None)], "prompt string, correct_answer string")
     kept = corpus.limit_tokens(corpus.count_tokens(df), 2, 1).collect()
-    assert [(r.token_count, r.token_count_correct) for r in kept] == [(2, 1)]
+    assert [(r.token_count, r.token_count_correct) for r in kept] == [(2, 1), (1, None)]
 
 
 def test_augment_filters_writes_and_orders(spark, pairs, tmp_path):
@@ -170,3 +170,24 @@ def test_permutation_of_grown_rows_has_no_ties(pairs):
     grown = corpus.add_tasks(pairs, classification=True)
     assert grown.select("row_id", "task").distinct().count() == grown.count()
     assert index.permute(grown, ["row_id", "task"], 1).select("position").distinct().count() == 6
+
+
+def test_augment_keeps_rows_with_missing_or_repeated_keys_and_missing_text(spark):
+    pairs = [(1, "a", "p", "one two", "x"), (1, "a", "p", "one two", "x"), (None, "b", "p", "three", None), (2, None, "p", None, "y")]
+    df = spark.createDataFrame(pairs, files.PAIR_SCHEMA)
+    grown = corpus.augment(df, 10, 10)
+    assert grown.count() == 4
+    assert sorted(r.position for r in grown.collect()) == [0, 1, 2, 3]
+
+
+def test_augmented_file_reads_back_and_is_evaluated(spark, tmp_path):
+    df = spark.createDataFrame([(i, "a", "p", f"word{i} b", f"word{i}") for i in range(6)], files.PAIR_SCHEMA)
+    first = lambda texts: F.split(texts, " ")[0]
+    path = f"{tmp_path}/pairs{corpus.AUGMENTED_MARK}.csv"
+    corpus.augment(df, 10, 10, first, correctness_ratio=0.5, write_to=path)
+    read = files.read_csv(spark, path, files.PAIR_SCHEMA)
+    assert read.count() == 9 and "task" in read.columns
+    again = corpus.augment(read, 10, 10, name=path)
+    assert again.groupBy("task").count().orderBy("task").collect() == [("base", 6), ("correctness", 3)]
+    marked, _ = corpus.evaluate_file(spark, path, first)
+    assert marked.count() == 9

@@ -60,7 +60,7 @@ def test_one_hot_over_sorted_lanes(cells, rows):
 
 def test_one_hot_keeps_rows_without_a_lane(spark, rows):
     df = spark.createDataFrame([(1, "b"), (2, None), (3, "a")], "i int, lane string")
-    assert rows(features.one_hot(df, "lane"), "i", "onehot") == [(1, [0.0, 1.0]), (2, None), (3, [1.0, 0.0])]
+    assert rows(features.one_hot(df, "lane"), "i", "onehot") == [(1, [0.0, 1.0]), (2, [0.0, 0.0]), (3, [1.0, 0.0])]
 
 
 def test_positions_skip_absent_names_and_take_the_first(spark, rows):
@@ -68,12 +68,10 @@ def test_positions_skip_absent_names_and_take_the_first(spark, rows):
     assert rows(features.positions_of(genes, ["b", "zz", "a"])) == [(0, "b", 2), (2, "a", 0)]
 
 
-@pytest.mark.parametrize("narrow", [0, 64])
-def test_densify_fills_gaps_edges_and_empty_cells(spark, rows, monkeypatch, narrow):
-    monkeypatch.setattr(features, "NARROW", narrow)
+def test_densify_fills_gaps_edges_and_empty_cells(spark, rows):
     cells = spark.createDataFrame([(1,), (2,), (3,)], "cell_id long")
     matrix = spark.createDataFrame(
-        [(1, 1, 2.0), (1, 1, 3.0), (1, 3, 7.0), (2, 0, 1.0), (2, 4, 2.0)], "cell_id long, gene_idx int, value double"
+        [(1, 1, 2.0), (1, 1, 3.0), (1, 3, 7.0), (2, 0, 1.0), (2, 4, 2.0), (2, 5, 9.0), (2, -1, 9.0), (2, 2, None)], "cell_id long, gene_idx int, value double"
     )
     got = rows(features.densify(cells, matrix, 5), "cell_id", "features")
     assert got == [(1, [0, 5, 0, 7, 0]), (2, [1, 0, 0, 0, 2]), (3, [0, 0, 0, 0, 0])]
