@@ -54,7 +54,7 @@ def scaled(counts: np.ndarray) -> np.ndarray:
 class Coder:
     """Vectorised coder: numpy steps over all lanes at once."""
 
-    def __init__(self, freq: np.ndarray, steps_per_checkpoint: int = 64):
+    def __init__(self, freq: np.ndarray, steps_per_checkpoint: int = 128):
         self.freq = freq.astype(np.uint64)
         self.start = (np.cumsum(freq) - freq).astype(np.uint64)
         self.symbol = np.repeat(np.arange(len(freq), dtype=np.uint32), freq)
@@ -198,7 +198,7 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
 
 def write_ids(
     docs: DataFrame, folder: str, tokenizer: str, vocabulary: int, end_id: int = 2, key: str = "doc_id", text: str = "text",
-    ids_per_block: int = 1 << 19, lanes: int = 1024, blocks_per_file: int = 64,
+    ids_per_block: int = 1 << 19, lanes: int = 2048, blocks_per_file: int = 64,
 ) -> None:
     """Writes ``docs`` as coded ids in ascending key order: ``<folder>/blocks`` and the table in ``<folder>/table``.
 

@@ -42,10 +42,10 @@ class CachedEncoder:
         self.newline = encode_words(["\n"])[0]
 
     def _learn(self, cache: dict[str, bytes], wanted: set[str], prefix: str) -> None:
-        fresh = sorted(wanted.difference(cache))
+        fresh = list(wanted.difference(cache))
         if len(cache) + len(fresh) > self.limit:
             cache.clear()
-            fresh = sorted(wanted)
+            fresh = list(wanted)
         cache.update(zip(fresh, self.encode_words([prefix + word for word in fresh])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -79,26 +79,28 @@ def library_encoder(path: str) -> CachedEncoder:
     letters = {ord(c): "".join(chr(b) if b not in UNPRINTABLE else chr(256 + UNPRINTABLE.index(b)) for b in c.encode()) for c in map(chr, range(0xC0, 0x100))}
     known: dict[str, bytes] = {}
 
-    def pre_token(text: str) -> bytes:
-        found = known.get(text)
-        if found is None:
-            if len(known) >= 400_000:
-                known.clear()
-            found = known[text] = array("I", [token.id for token in tokenize(text)]).tobytes()
+    def learn(text: str) -> bytes:
+        if len(known) >= 400_000:
+            known.clear()
+        found = known[text] = array("I", [token.id for token in tokenize(text)]).tobytes()
         return found
 
     def encode_words(words: list[str]) -> list[bytes]:
         out, others = [], []
+        add, seen = out.append, known.get
         for word in words:
             cut = SIMPLE(word)
             if cut is None:
                 others.append(len(out))
-                out.append(b"")
+                add(b"")
                 continue
             space, stem, marks = cut.groups()
-            stem = stem if stem.isascii() else stem.translate(letters)
-            ids = pre_token("\u0120" + stem if space else stem)
-            out.append(ids + pre_token(marks) if marks else ids)
+            if not stem.isascii():
+                stem = stem.translate(letters)
+            if space:
+                stem = "\u0120" + stem
+            ids = seen(stem) or learn(stem)
+            add(ids + (seen(marks) or learn(marks)) if marks else ids)
         for start in range(0, len(others), 1000):
             places = others[start : start + 1000]
             for place, coded in zip(places, tokenizer.encode_batch_fast([words[i] for i in places], add_special_tokens=False)):
