@@ -104,7 +104,55 @@ SELECT doc_id, coalesce(n_shingles, 0)::BIGINT AS n_shingles, component_id, doc_
 
 
 def op8_distribution_divergence(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(table(spark, folder, "documents"))
+    return quality.judge(table(spark, folder, "documents")).drop("char_distance", "word_distance")
+
+
+def _op8_sql() -> str:
+    lists = "CASE lang " + " ".join(f"WHEN '{name}' THEN [{', '.join(repr(w) for w in own)}]" for name, own in quality.COMMON.items()) + " ELSE []::VARCHAR[] END"
+    classes = [r"[^a-z]", r"[^\x20\x09-\x0D]", r"[^A-Z]", r"[\x00-\x7F]", r"[^0-9]", r"[^#*$%&|<>]"]
+    counts = ", ".join(f"length(regexp_replace(text, '{rule}', '', 'g'))" for rule in classes)
+    bins = quality.BINS
+    mean = lambda column, total, n: "[" + ", ".join(f"coalesce(avg(CASE WHEN {total} > 0 THEN {column}[{i}] / {total} END), 0)" for i in range(1, n + 1)) + "]"
+
+    def distance(column: str, reference: str, n: int) -> str:
+        p, q = f"({column}[i] / list_sum({column}))", f"{reference}[i]"
+        part = lambda x: f"(CASE WHEN {x} > 0 THEN {x} * log2({x} / (({p} + {q}) / 2)) ELSE 0 END)"
+        inner = f"list_sum(list_transform(range(1, {n + 1}), lambda i: ({part(p)} + {part(q)}) / 2))"
+        return f"CASE WHEN list_sum({column}) = 0 OR list_sum({reference}) = 0 THEN 0 ELSE sqrt(greatest({inner}, 0)) END"
+
+    return rf"""
+    WITH d AS (
+        SELECT doc_id, coalesce(text, '') AS text, CASE WHEN lang IN ({', '.join(map(repr, quality.COMMON))}) THEN lang ELSE 'other' END AS lang,
+            list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+        FROM documents
+    ), w AS (
+        SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS k FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 2)) AS i FROM d WHERE len(ws) > 2)
+    ), again AS (
+        SELECT doc_id, count(DISTINCT place) AS n FROM (
+            SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k) AS times FROM w) WHERE times > 1
+        ) GROUP BY doc_id
+    ), h AS (
+        SELECT *, length(text) AS n_chars, len(ws) AS n_words, [{counts}] AS six, list_transform(ws, lambda x: lower(x)) AS low, {lists} AS own FROM d
+    ), p AS (
+        SELECT *, list_append(six, n_chars - list_sum(six)) AS chars,
+            list_append(list_transform(range(1, {bins}), lambda i: CASE WHEN i <= len(own) THEN len(list_filter(low, lambda x: x = own[i])) ELSE 0 END),
+                n_words - len(list_filter(low, lambda x: list_contains(own, x)))) AS commons
+        FROM h
+    ), r AS (
+        SELECT lang, {mean('chars', 'n_chars', 7)} AS char_reference, {mean('commons', 'n_words', bins)} AS word_reference FROM p GROUP BY lang
+    ), v AS (
+        SELECT doc_id, n_words::BIGINT AS n_words, (n_chars - six[2])::BIGINT AS word_chars, six[6]::BIGINT AS n_symbols,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, n_chars,
+            {distance('chars', 'char_reference', 7)} AS char_distance, {distance('commons', 'word_reference', bins)} AS word_distance
+        FROM p JOIN r USING (lang) LEFT JOIN again USING (doc_id)
+    ), b AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM v
+    )
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+        NOT base_failed AND NOT (n_chars >= 300 AND char_distance > 0.3) AND NOT (n_words >= 80 AND word_distance > 0.3) AS kept
+    FROM b
+    """
 
 
 def op9_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,4 +178,4 @@ QUERIES = {
     "op9_rans_tokens": op9_rans_tokens,
     "op10_pair_index_bpe": op10_pair_index_bpe,
 }
-ORACLES = {"op7_chosen_path_minhash": OP7_SQL, "op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
+ORACLES = {"op8_distribution_divergence": _op8_sql(), "op7_chosen_path_minhash": OP7_SQL, "op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
