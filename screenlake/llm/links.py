@@ -71,24 +71,26 @@ class Forest:
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id on an edge (a, b); the component is its smallest id.
 
-    Large-star and small-star rounds: every node moves its neighbours to the smallest it knows, until nothing
-    changes; each round's table is written. Minima are combined before they are shuffled, and a hub's edges stay rows.
+    Large-star and small-star rounds: every node moves its neighbours to the smallest it knows, until every
+    component is a star; each round's table is written. Minima are combined before they are shuffled, and a hub's edges stay rows.
     """
-    pairs = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    pairs = written(pairs, "edges")
-    state = None
-    while True:
-        both = pairs.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
+    pairs = written(edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    while not _stars(pairs):
+        both = pairs.select(F.explode(F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))).alias("e")).select("e.*")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi")
         small = small.select(F.explode(F.array(F.struct("hi", F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.*")
         pairs = written(small.where("hi <> lo").distinct(), "edges")
-        now = pairs.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if state == now:
-            break
-        state = now
     return pairs.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(
         pairs.select(F.col("lo").alias("id"), F.col("lo").alias("component")).distinct()
     )
+
+
+def _stars(pairs: DataFrame) -> bool:
+    """Whether every node that has a smaller neighbour has one only, and that one has none."""
+    ends = pairs.select("hi", F.lit(1).alias("n")).unionByName(pairs.select(F.col("lo").alias("hi"), F.lit(0).alias("n")))
+    # a node seen above and below another, or above two others, breaks a star
+    seen = ends.groupBy("hi").agg(F.sum("n").alias("above"), F.min("n").alias("least"))
+    return seen.where((F.col("above") > 1) | ((F.col("above") > 0) & (F.col("least") == 0))).isEmpty()

@@ -89,29 +89,42 @@ def signatures(frame: DataFrame, width: int) -> DataFrame:
     return frame.mapInArrow(run, "key long, tie long, n_shingles long, one long, two long, signature array<int>")
 
 
-def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int) -> DataFrame:
-    """(a, b) between classes that meet in some node and agree on half of their signatures; a forest per node."""
+def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, pivots: int = 4) -> DataFrame:
+    """(a, b) between classes that meet in some node and agree on half of their signatures; a forest per node.
+
+    In a large node every member is first compared with a few pivots. Members that agree with one on three quarters
+    are settled: whatever is similar to them agrees with that pivot on half, too. The others branch. So a dense
+    group takes as many comparisons as it has members.
+    """
     child = lambda node, place: F.xxhash64(node, place, F.get(F.col("signature"), place))
     starts = F.array(*[F.xxhash64(F.lit(p), F.get(F.col("signature"), F.lit(p))) for p in range(2 * trees)])
-    level = sets.select("cid", "signature", F.explode(starts).alias("node"))
-    leaves = []
+    level = sets.select("cid", F.explode(starts).alias("node"))
+    leaves, found = [], []
     for step in range(depth + 1):
         level = written(level, "nodes")
-        counts = level.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = level.join(written(counts, "counts"), "node")
-        if step == depth:
-            leaves.append(met)
-            break
-        leaves.append(met.where(F.col("n") <= node_limit))
-        large = met.where(F.col("n") > node_limit)
-        if large.isEmpty():
+        counts = written(level.groupBy("node").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "counts")
+        met = level.join(counts, "node")
+        leaves.append(met if step == depth else met.where(F.col("n") <= node_limit))
+        if step == depth or counts.where(F.col("n") > node_limit).isEmpty():
             break
+        large = written(met.where(F.col("n") > node_limit).join(sets, "cid"), "large")
+        part = F.pmod(F.xxhash64("cid", "node"), F.lit(pivots))
+        chosen = large.groupBy("node").agg(
+            *[F.min(F.when(part == j, F.struct(F.xxhash64("cid").alias("h"), "cid", "signature"))).alias(f"pivot{j}") for j in range(pivots)]
+        )
+        near = large.join(chosen, "node")
+        agreed = [F.size(F.filter(F.zip_with("signature", f"pivot{j}.signature", lambda x, y: x == y), lambda same: same)) for j in range(pivots)]
+        linked = F.array(*[F.when(a * 2 >= PLACES, F.col(f"pivot{j}.cid")) for j, a in enumerate(agreed)])
+        settled = F.coalesce(F.greatest(*[F.coalesce(a, F.lit(0)) for a in agreed]) * 4 >= 3 * PLACES, F.lit(False))
+        near = written(near.select("cid", "node", "signature", linked.alias("linked"), settled.alias("settled")), "near")
+        found.append(near.select(F.col("cid").alias("a"), F.explode(F.array_compact("linked")).alias("b")).where("a <> b"))
         places = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(PLACES)).cast("int") for j in range(2)]
-        level = large.select("cid", "signature", F.explode(F.array_distinct(F.array(*[child(F.col("node"), p) for p in places]))).alias("node"))
+        level = near.where("NOT settled").select("cid", F.explode(F.array_distinct(F.array(*[child(F.col("node"), p) for p in places]))).alias("node"))
     met = leaves[0]
     for leaf in leaves[1:]:
         met = met.unionByName(leaf)
-    tasks = block_tasks(met.withColumn("blocks", F.ceil(F.col("n") / node_limit)), "node", "cid", "blocks").select("task", "cid", "signature")
+    tasks = block_tasks(met.withColumn("blocks", F.ceil(F.col("n") / node_limit)), "node", "cid", "blocks").select("task", "cid")
+    tasks = tasks.join(sets, "cid").select("task", "cid", "signature")
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
         cids = table.column("cid").to_numpy()
@@ -128,7 +141,10 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int) ->
             return None
         return pa.RecordBatch.from_arrays([pa.array(cids[moved]), pa.array(cids[forest.root[moved]])], ["a", "b"])
 
-    return per_task(tasks, compare, "a long, b long").distinct()
+    edges = per_task(tasks, compare, "a long, b long")
+    for more in found:
+        edges = edges.unionByName(more)
+    return edges.distinct()
 
 
 def confirmed(sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -166,7 +182,7 @@ def confirmed(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, width: int = 5, trees: int = 4, node_limit: int = 1000, depth: int = 10,
+    docs: DataFrame, percent: int = 85, width: int = 5, trees: int = 4, node_limit: int = 2000, depth: int = 10,
     shingles_per_block: int = 2_000_000, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept, tie, chosen): components of links with Jaccard similarity of ``percent`` or more.
@@ -197,7 +213,8 @@ def near_duplicates(
                 picked = [column(name).take(pa.array(same)) for name in ("cid", "component", "blocks")]
                 yield pa.RecordBatch.from_arrays([*picked, pa.array(data, pa.binary())], ["cid", "component", "blocks", "tokens"])
 
-    rows = frame.join(wanted, frame["key"].eqNullSafe(wanted["key"])).select("text", "cid", "one", "two", "component", "blocks")
+    # shuffled at every size: what is wanted grows with the corpus
+    rows = frame.hint("merge").join(wanted, frame["key"].eqNullSafe(wanted["key"])).select("text", "cid", "one", "two", "component", "blocks")
     sets = rows.mapInArrow(full_sets, "cid long, component long, blocks long, tokens binary")
     tasks = block_tasks(sets, "component", "cid", "blocks").select("task", "cid", "tokens")
 
