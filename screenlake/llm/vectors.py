@@ -1,8 +1,9 @@
 """Near-duplicate vectors: spherical k-means cells, blocked cosine products inside the cells.
 
-Centres are fitted on a bounded sample; every vector is then placed in its nearest cell (home) and, as a guest, in
-cells that are nearly as close, so that near vectors on two sides of a border still meet. A cell that is larger than
-a block is compared block by block: every pair of blocks is a task, and no task holds more than two.
+Centres are fitted on a bounded sample; every vector is then placed in its nearest cell (home), in its core or its shell.
+Cores and shells fill blocks, tight ones first, and a vector is a guest in every earlier block where the geometry of the
+cells leaves room for a partner. So every pair meets exactly once, in the earlier of its two home blocks. A task holds the
+rows at home in one block and compares the guests as they come.
 
 Exact copies are one class with a count, so a very common vector is one row in the cells.
 """
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import written
-from screenlake.llm.links import Forest, block_tasks, components, per_task
+from screenlake.llm.links import Forest, components
 
 
 def unit_rows(column: pa.Array, size: int) -> np.ndarray:
@@ -47,13 +48,14 @@ def usable(vector: str) -> F.Column:
 
 
 def near_vectors(
-    frame: DataFrame, threshold: float = 0.9, vectors_per_cell: int = 500, max_cells: int = 4096, fit_rows: int = 20_000, guests: int = 3,
-    margin: float = 0.2, block_rows: int = 2048, key: str = "vec_id", vector: str = "embedding",
+    frame: DataFrame, threshold: float = 0.9, vectors_per_cell: int = 500, max_cells: int = 4096, fit_rows: int = 20_000,
+    block_rows: int = 2048, key: str = "vec_id", vector: str = "embedding",
 ) -> DataFrame:
     """(key, n_links, component_id, kept) of every row; links are pairs with a cosine of at least ``threshold``.
 
     ``fit_rows`` bounds the sample for the centres (the rows with the smallest hashes), ``max_cells`` the centres;
-    larger cells take more block pairs. Every vector is compared. Vectors that are null, empty, zero or hold
+    larger cells take more blocks. No pair is missed at any setting. Vectors without direction in common
+    with few others have to visit most blocks, so a table of such vectors takes quadratic time. Vectors that are null, empty, zero or hold
     null or non-finite components link with nothing and are their own component; vectors of different lengths do
     not link. Rows with equal vectors link with each other. ``component_id`` passes over null keys. An empty table
     gives no rows; other columns, labels among them, are not read.
@@ -66,7 +68,7 @@ def near_vectors(
     sizes = [r["size"] for r in classes.select("size").distinct().limit(1000).collect()]
     found = None
     for size in sizes:  # one for a table of one embedding model
-        own = _linked(classes.where(F.col("size") == size), int(size), threshold, vectors_per_cell, max_cells, fit_rows, guests, margin, block_rows)
+        own = _linked(classes.where(F.col("size") == size), int(size), threshold, vectors_per_cell, max_cells, fit_rows, block_rows)
         found = own if found is None else found.unionByName(own)
     if found is None:
         found = frame.sparkSession.createDataFrame([], "cid long, links long, parent long")
@@ -84,67 +86,179 @@ def near_vectors(
     )
 
 
-def _linked(classes, size, threshold, vectors_per_cell, max_cells, fit_rows, guests, margin, block_rows) -> DataFrame:
-    """(cid, links, parent) per task: copies that a class links to in the task, and its local component."""
+def fill_blocks(counts: np.ndarray, block_rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first block, number of blocks) of each part in order, and the parts that begin new blocks.
+
+    Small parts share a block, a part that is larger than a block has several of its own.
+    """
+    first, parts, begins, last, room = [], [], [], -1, 0
+    for i, count in enumerate(counts):
+        if count > room:
+            begins.append(i)
+            parts.append(max(1, -(-int(count) // block_rows)))
+            first.append(last + 1)
+            last += parts[-1]
+            room = block_rows if parts[-1] == 1 else 0
+        else:
+            parts.append(1)
+            first.append(last)
+        room -= min(room, int(count))
+    return np.asarray(first), np.asarray(parts), np.asarray(begins)
+
+
+class Block:
+    """The rows at home in a block; counts their links with each other and with guests."""
+
+    def __init__(self, cid: np.ndarray, copies: np.ndarray, rows: np.ndarray, threshold: float):
+        self.cid, self.copies, self.rows, self.threshold = cid, copies, rows, threshold
+        self.single = rows.astype(np.float32)
+        self.links, self.forest = np.zeros(len(cid), np.int64), Forest(len(cid))
+        for at in range(0, len(cid), 256):
+            a, b = self.near(rows[at : at + 256])
+            fine = a + at < b
+            a, b = a[fine] + at, b[fine]
+            self.count(a, b, copies)
+            self.join(a, b, inside=True)
+
+    def near(self, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (other, own) at the threshold or above: by single precision, close calls by double precision."""
+        doubt = (others.shape[1] + 8) * 2.0**-22
+        cosines = others.astype(np.float32) @ self.single.T
+        a, b = np.nonzero(cosines >= self.threshold - doubt)
+        sure = cosines[a, b] >= self.threshold + doubt
+        unsure = np.flatnonzero(~sure)
+        for at in range(0, len(unsure), 16_384):
+            part = unsure[at : at + 16_384]
+            sure[part] = np.einsum("ij,ij->i", others[a[part]], self.rows[b[part]]) >= self.threshold
+        return a[sure], b[sure]
+
+    def count(self, a: np.ndarray, b: np.ndarray, copies: np.ndarray) -> np.ndarray:
+        """Adds the copies of ``a`` to the links of ``b`` (own rows); inside the block also the other way round."""
+        self.links += np.bincount(b, copies[a], len(self.cid)).astype(np.int64)
+        links = np.bincount(a, self.copies[b], len(copies)).astype(np.int64)
+        if copies is self.copies:
+            self.links += links
+        return links
+
+    def join(self, a: np.ndarray, b: np.ndarray, inside: bool = False) -> np.ndarray:
+        """Joins the own rows ``b`` that share a partner ``a`` (in order), and the partner if it is ``inside``; one of them for each partner."""
+        if not len(a):
+            return np.zeros(0, np.int64)
+        begins = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]]))
+        for i, members in zip(a[begins], np.split(b, begins[1:])):
+            if inside:
+                members = np.append(members, i)
+            root = self.forest.root[members]
+            if (root != root[0]).any():
+                self.forest.join(members)
+        return b[begins]
+
+    def guests(self, cid: np.ndarray, copies: np.ndarray, rows: np.ndarray) -> pa.RecordBatch | None:
+        found = []
+        for at in range(0, len(cid), 512):
+            a, b = self.near(rows[at : at + 512])
+            links = self.count(a, b, copies[at : at + 512])
+            partner = self.join(a, b)
+            linked = np.unique(a)
+            if len(linked):
+                found.append((cid[at + linked], links[linked], self.cid[partner]))
+        return link_rows(*map(np.concatenate, zip(*found))) if found else None
+
+    def own(self) -> pa.RecordBatch | None:
+        kept = np.flatnonzero(self.links)
+        return link_rows(self.cid[kept], self.links[kept], self.cid[self.forest.root[kept]]) if len(kept) else None
+
+
+def link_rows(cid: np.ndarray, links: np.ndarray, parent: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(links), pa.array(parent)], ["cid", "links", "parent"])
+
+
+def _linked(classes, size, threshold, vectors_per_cell, max_cells, fit_rows, block_rows) -> DataFrame:
+    """(cid, links, parent) per task: copies that a class links to in the task, and a class of its component."""
     n = classes.count()
     sample = classes.orderBy("one", "two").limit(fit_rows).select("vector").toPandas()["vector"]
     centres = fit_centres(np.stack([np.asarray(v, np.float64) / np.linalg.norm(np.asarray(v, np.float64)) for v in sample]), min(max_cells, max(1, n // vectors_per_cell)))
+    angle = np.arccos(np.clip(threshold, -1, 1))
+    slack = 1e-6  # for rounding, in radians
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 column = part.column(part.schema.get_field_index("vector"))
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * size), column.flatten())
-                close = unit_rows(lists, size) @ centres.T
-                width = min(guests + 1, close.shape[1])
-                cells = np.argsort(-close, axis=1, kind="stable")[:, :width]
-                near = np.take_along_axis(close, cells, axis=1) >= close.max(axis=1, keepdims=True) - margin
-                near[:, 0] = True
-                counts = near.sum(axis=1)
-                lists_of = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(cells[near].astype(np.int32)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index("cid")), part.column(part.schema.get_field_index("copies")), column, lists_of], ["cid", "copies", "vector", "cells"]
-                )
+                close = np.clip(unit_rows(lists, size) @ centres.T, -1, 1)
+                yield part, close, close.argmax(axis=1)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, close, home in parts_of(batches):
+            away = np.arccos(close[np.arange(len(home)), home])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(home * 2 + (away > angle)), pa.array(away)], [*part.schema.names, "part", "away"])
 
     kind = classes.schema["vector"].dataType.simpleString()
-    placed = classes.select("cid", "copies", "vector").mapInArrow(place, f"cid long, copies long, vector {kind}, cells array<int>")
-    placed = written(placed, "placed").withColumn("cell", F.explode("cells"))
-    blocks = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("blocks"))
-    tasks = block_tasks(placed.join(blocks, "cell"), "cell", "cid", "blocks").select("task", "cell", "cid", "copies", "vector", "cells", "blocks", "own_block", "other_block")
-
-    def compare(table: pa.Table) -> pa.RecordBatch | None:
-        cid, copies = table.column("cid").to_numpy(), table.column("copies").to_numpy()
-        cell, blocks = table.column("cell")[0].as_py(), table.column("blocks")[0].as_py()
-        rows = unit_rows(table.column("vector"), size)
-        member = np.full((len(cid), guests + 1), -1)
-        for i, cells in enumerate(table.column("cells").to_pylist()):
-            member[i, : len(cells)] = cells
-        home = member[:, 0]
-        block, other_block = table.column("own_block").to_numpy(), table.column("other_block").to_numpy()
-        links, forest = np.zeros(len(cid), np.int64), Forest(len(cid))
-        for at in range(0, len(cid), 256):
-            own = slice(at, at + 256)
-            a, b = np.nonzero(rows[own] @ rows.T >= threshold)
-            a += at
-            fine = a < b
-            a, b = a[fine], b[fine]
-            # a pair counts where one of the two is at home, in the smaller of two such cells, and once per block pair
-            alone = (home[a] == cell) != (home[b] == cell)
-            other = np.where(home[a] == cell, home[b], home[a])
-            at_home = np.where(home[a] == cell, a, b)
-            twice = alone & (member[at_home] == other[:, None]).any(axis=1) & (other < cell)
-            counted = ((home[a] == cell) | (home[b] == cell)) & ~twice
-            if blocks > 1:  # pairs inside a block meet in several tasks; they count with block 0, those of block 0 with block 1
-                counted &= (block[a] != block[b]) | (other_block[a] == np.where(block[a] == 0, 1, 0))
-            a, b = a[counted], b[counted]
-            np.add.at(links, a, copies[b])
-            np.add.at(links, b, copies[a])
-            for i in np.unique(a):
-                forest.join(np.append(b[a == i], i))
-        kept = np.flatnonzero(links)
-        if not len(kept):
-            return None
-        return pa.RecordBatch.from_arrays([pa.array(cid[kept]), pa.array(links[kept]), pa.array(cid[forest.root[kept]])], ["cid", "links", "parent"])
-
-    return per_task(tasks, compare, "cid long, links long, parent long")
+    placed = written(classes.select("cid", "copies", "vector").mapInArrow(place, f"cid long, copies long, vector {kind}, part long, away double"), "placed")
+    shape = placed.groupBy("part").agg(F.min("away").alias("least"), F.max("away").alias("most"), F.count(F.lit(1)).alias("n"))
+    shape = sorted((r["most"], r["part"], r["least"], r["n"]) for r in shape.collect())  # core and shell of every cell
+    most, part_ids, least = (np.asarray([r[i] for r in shape]) for i in range(3))
+    first, parts, begins = fill_blocks(np.asarray([r[3] for r in shape]), block_rows)
+    rank = np.zeros(2 * len(centres), np.int64)
+    rank[part_ids] = np.arange(len(shape))
+    cells = part_ids // 2
+    apart = np.sqrt(np.maximum(0, 2 - 2 * np.clip(centres @ centres.T, -1, 1)))
+    reach = np.sin(angle) if angle < np.pi / 2 else 1.0
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, close, home in parts_of(batches):
+            # a partner is within `angle`: its distance from the centre differs by that much at most, and it is on its own side of the border
+            border = close[np.arange(len(home)), home][:, None] - close <= reach * apart[home] + slack
+            away = np.arccos(close)[:, cells]
+            may = border[:, cells] & (away <= most + angle + slack) & (away >= least - angle - slack)
+            may = np.logical_or.reduceat(may, begins, axis=1)  # a vector visits a block once
+            may = np.repeat(may, parts[begins], axis=1)
+            at = rank[part.column(part.schema.get_field_index("part")).to_numpy()]
+            spread = part.column(part.schema.get_field_index("spread")).to_numpy()
+            own = first[at] + spread % parts[at]
+            row, block = np.nonzero(may & (np.arange(may.shape[1]) < own[:, None]))
+            stops = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(home)))]).astype(np.int32)
+            visits = pa.ListArray.from_arrays(pa.array(stops), pa.array(block.astype(np.int64)))
+            kept = [part.column(part.schema.get_field_index(name)) for name in ("cid", "copies", "vector")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(own.astype(np.int64)), visits], ["cid", "copies", "vector", "own", "visits"])
+
+    spread = placed.withColumn("spread", F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(1 << 40)))
+    visits = spread.mapInArrow(visit, f"cid long, copies long, vector {kind}, own long, visits array<long>")
+    tasks = visits.withColumn("task", F.explode(F.concat(F.array("own"), "visits")))
+    tasks = tasks.select("task", (F.col("task") != F.col("own")).alias("guest"), "cid", "copies", "vector")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, block = None, [], None
+
+        def opened() -> Block:
+            return Block(*map(np.concatenate, zip(*held)), threshold)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
+            ids, guest = column("task").to_numpy(), column("guest").to_numpy(zero_copy_only=False)
+            borders = np.flatnonzero((ids[1:] != ids[:-1]) | (guest[1:] != guest[:-1])) + 1
+            for start, stop in zip([0, *borders], [*borders, len(ids)]):
+                piece = batch.slice(start, stop - start)
+                values = piece.column(piece.schema.get_field_index("vector")).flatten()
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1, dtype=np.int32) * size), values)
+                rows = (column("cid").to_numpy()[start:stop], column("copies").to_numpy()[start:stop], unit_rows(lists, size))
+                if ids[start] != task:
+                    if held and (found := (block or opened()).own()) is not None:
+                        yield found
+                    task, held, block = ids[start], [], None
+                if not guest[start]:
+                    held.append(rows)
+                    continue
+                if not held:
+                    continue
+                block = block or opened()
+                if (found := block.guests(*rows)) is not None:
+                    yield found
+        if held and (found := (block or opened()).own()) is not None:
+            yield found
+
+    return tasks.repartition("task").sortWithinPartitions("task", "guest").mapInArrow(compare, "cid long, links long, parent long")

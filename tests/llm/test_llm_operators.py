@@ -241,6 +241,27 @@ def test_vectors(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def skewed_vectors(n, size=64):
+    """A third of the rows near one vector, a third in groups of ten near each other, the others alone."""
+    rng = np.random.default_rng(3)
+    noise = lambda m: rng.normal(size=(m, size)) / np.sqrt(size)
+    hot = noise(1) + 0.3 * noise(n // 3)
+    groups = np.repeat(noise(n // 30), 10, axis=0)
+    groups = groups + 0.3 * noise(len(groups))
+    rows = np.concatenate([hot, groups, noise(n - len(hot) - len(groups))]).astype(np.float32)
+    return rows[rng.permutation(n)]
+
+
+def test_vectors_in_many_cells(spark):
+    rows = skewed_vectors(1500)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    want = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    frame = spark.createDataFrame(list(enumerate(rows.tolist())), "vec_id long, embedding array<float>")
+    for limits in ({"vectors_per_cell": 20, "block_rows": 100}, {"vectors_per_cell": 20}, {"vectors_per_cell": 200, "block_rows": 64}):
+        got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame, **limits).collect()}
+        assert [got[i] for i in range(len(rows))] == want.tolist()
+
+
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
