@@ -65,13 +65,12 @@ def near_vectors(
     rows = rows.withColumn("one", F.xxhash64("vector")).withColumn("two", F.xxhash64(F.lit(1), F.reverse("vector")))
     classes = rows.where("valid").groupBy("one", "two").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"))
     classes = written(classes.withColumn("size", F.size("vector")).withColumn("cid", F.monotonically_increasing_id()), "classes")
-    sizes = [r["size"] for r in classes.select("size").distinct().limit(1000).collect()]
-    found = None
-    for size in sizes:  # one for a table of one embedding model
-        own = _linked(classes.where(F.col("size") == size), int(size), threshold, vectors_per_cell, max_cells, fit_rows, block_rows)
-        found = own if found is None else found.unionByName(own)
-    if found is None:
-        found = frame.sparkSession.createDataFrame([], "cid long, links long, parent long")
+    sizes = written(classes.groupBy("size").agg(F.count(F.lit(1)).alias("n")), "sizes")
+    # sizes of few vectors are one block each and share a pass; one of many has its own cells
+    few = classes.join(sizes.where(F.col("n") <= block_rows), "size")
+    found = compared(few.select(F.col("size").cast("long").alias("task"), F.lit(False).alias("guest"), "cid", "copies", "vector"), threshold)
+    for size in [r["size"] for r in sizes.where(F.col("n") > block_rows).collect()]:
+        found = found.unionByName(_linked(classes.where(F.col("size") == size), int(size), threshold, vectors_per_cell, max_cells, fit_rows, block_rows))
     found = written(found, "links")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     parts = components(found.where("cid <> parent").select(F.col("cid").alias("a"), F.col("parent").alias("b")))
@@ -173,6 +172,45 @@ def link_rows(cid: np.ndarray, links: np.ndarray, parent: np.ndarray) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(links), pa.array(parent)], ["cid", "links", "parent"])
 
 
+def compared(tasks: DataFrame, threshold: float) -> DataFrame:
+    """(cid, links, parent) of the rows of each task, (task, guest, cid, copies, vector) of one size."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, block = None, [], None
+
+        def opened() -> Block:
+            return Block(*map(np.concatenate, zip(*held)), threshold)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
+            ids, guest = column("task").to_numpy(), column("guest").to_numpy(zero_copy_only=False)
+            borders = np.flatnonzero((ids[1:] != ids[:-1]) | (guest[1:] != guest[:-1])) + 1
+            for start, stop in zip([0, *borders], [*borders, len(ids)]):
+                piece = batch.slice(start, stop - start)
+                values = piece.column(piece.schema.get_field_index("vector")).flatten()
+                size = len(values) // piece.num_rows
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1, dtype=np.int32) * size), values)
+                rows = (column("cid").to_numpy()[start:stop], column("copies").to_numpy()[start:stop], unit_rows(lists, size))
+                if ids[start] != task:
+                    if held and (found := (block or opened()).own()) is not None:
+                        yield found
+                    task, held, block = ids[start], [], None
+                if not guest[start]:
+                    held.append(rows)
+                    continue
+                if not held:
+                    continue
+                block = block or opened()
+                if (found := block.guests(*rows)) is not None:
+                    yield found
+        if held and (found := (block or opened()).own()) is not None:
+            yield found
+
+    return tasks.repartition("task").sortWithinPartitions("task", "guest").mapInArrow(compare, "cid long, links long, parent long")
+
+
 def _linked(classes, size, threshold, vectors_per_cell, max_cells, fit_rows, block_rows) -> DataFrame:
     """(cid, links, parent) per task: copies that a class links to in the task, and a class of its component."""
     n = classes.count()
@@ -227,38 +265,4 @@ def _linked(classes, size, threshold, vectors_per_cell, max_cells, fit_rows, blo
     spread = placed.withColumn("spread", F.pmod(F.xxhash64("cid", F.lit(7)), F.lit(1 << 40)))
     visits = spread.mapInArrow(visit, f"cid long, copies long, vector {kind}, own long, visits array<long>")
     tasks = visits.withColumn("task", F.explode(F.concat(F.array("own"), "visits")))
-    tasks = tasks.select("task", (F.col("task") != F.col("own")).alias("guest"), "cid", "copies", "vector")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, held, block = None, [], None
-
-        def opened() -> Block:
-            return Block(*map(np.concatenate, zip(*held)), threshold)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            column = lambda name: batch.column(batch.schema.get_field_index(name))  # noqa: B023, E731
-            ids, guest = column("task").to_numpy(), column("guest").to_numpy(zero_copy_only=False)
-            borders = np.flatnonzero((ids[1:] != ids[:-1]) | (guest[1:] != guest[:-1])) + 1
-            for start, stop in zip([0, *borders], [*borders, len(ids)]):
-                piece = batch.slice(start, stop - start)
-                values = piece.column(piece.schema.get_field_index("vector")).flatten()
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(piece.num_rows + 1, dtype=np.int32) * size), values)
-                rows = (column("cid").to_numpy()[start:stop], column("copies").to_numpy()[start:stop], unit_rows(lists, size))
-                if ids[start] != task:
-                    if held and (found := (block or opened()).own()) is not None:
-                        yield found
-                    task, held, block = ids[start], [], None
-                if not guest[start]:
-                    held.append(rows)
-                    continue
-                if not held:
-                    continue
-                block = block or opened()
-                if (found := block.guests(*rows)) is not None:
-                    yield found
-        if held and (found := (block or opened()).own()) is not None:
-            yield found
-
-    return tasks.repartition("task").sortWithinPartitions("task", "guest").mapInArrow(compare, "cid long, links long, parent long")
+    return compared(tasks.select("task", (F.col("task") != F.col("own")).alias("guest"), "cid", "copies", "vector"), threshold)

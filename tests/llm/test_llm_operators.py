@@ -262,6 +262,18 @@ def test_vectors_in_many_cells(spark):
         assert [got[i] for i in range(len(rows))] == want.tolist()
 
 
+def test_vectors_of_many_sizes(spark):
+    rows = [(2 * size + i, [1.0 + i] + [1.0] * size) for size in range(20, 1120) for i in range(2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(frame).collect()}
+    assert got == {i: (1, i - i % 2) for i, _ in rows}
+    mixed = spark.createDataFrame([r for r in rows if r[0] < 60] + [(10_000 + i, [1.0, float(i)]) for i in range(300)], "vec_id long, embedding array<float>")
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(mixed, vectors_per_cell=50, block_rows=40).collect()}
+    unit = np.asarray([[1.0, i] for i in range(300)])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    assert got == {i: 1 for i in range(40, 60)} | dict(enumerate(((unit @ unit.T >= 0.9).sum(axis=1) - 1).tolist(), 10_000))
+
+
 RULES = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
