@@ -262,6 +262,16 @@ def test_vectors_in_many_cells(spark):
         assert [got[i] for i in range(len(rows))] == want.tolist()
 
 
+def test_vectors_recall_with_default_cells(spark):
+    """All rows as queries against all rows, in 40 cells."""
+    rows = skewed_vectors(20_000)
+    unit = rows.astype(float) / np.linalg.norm(rows.astype(float), axis=1, keepdims=True)
+    want = np.concatenate([(unit[i : i + 1000] @ unit.T >= 0.9).sum(axis=1) - 1 for i in range(0, len(unit), 1000)])
+    frame = spark.createDataFrame(list(enumerate(rows.tolist())), "vec_id long, embedding array<float>").repartition(8)
+    got = {r.vec_id: r.n_links for r in vectors.near_vectors(frame).collect()}
+    assert [got[i] for i in range(len(rows))] == want.tolist()
+
+
 def test_vectors_of_many_sizes(spark):
     rows = [(2 * size + i, [1.0 + i] + [1.0] * size) for size in range(20, 1120) for i in range(2)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
