@@ -5,12 +5,13 @@ node sends its members on by the minwise tokens at the places that it selects, s
 others part. A node that is small enough, or as deep as allowed, compares all its members by their signatures; those
 that may be similar form groups. Links are confirmed on the full sets inside each group, with an inverted index.
 
-With two places a level, a pair of similarity 0.85 parts in a tree with probability 0.03 at most, in all four trees
-with 1e-6; signatures of 32 places show it below one half with the same probability.
+Every tree reads signature places of its own. Their number, and how many places must agree, follow from the least
+similarity and from the probability with which a pair at that similarity may be missed (``tree_count``, ``least_agreeing``).
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,37 @@ from screenlake.llm.chunks import hashed_words, split_words
 from screenlake.llm.common import mix64, rolled, written
 from screenlake.llm.links import Forest, block_tasks, components, per_task
 
-PLACES = 32
-SEEDS = mix64(np.arange(1, PLACES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+PLACES = 32  # of a tree
+
+
+def seeds(places: int) -> np.ndarray:
+    return mix64(np.arange(1, places + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def agreeing(places: int, similarity: float) -> list[float]:
+    """Probability of each number of agreeing places."""
+    return [math.comb(places, k) * similarity**k * (1 - similarity) ** (places - k) for k in range(places + 1)]
+
+
+def tree_count(similarity: float, missed: float, depth: int) -> int:
+    """Trees in all of which a pair parts with probability ``missed`` at most.
+
+    In a tree the pair goes on by each of two places that agrees, so it parts as a branching process dies out; the
+    number of agreeing places of the tree is binomial.
+    """
+    parted = 0.0
+    for k, weight in enumerate(agreeing(PLACES, similarity)):
+        dead = 0.0
+        for _ in range(depth + 1):
+            dead = (1 - k / PLACES + k / PLACES * dead) ** 2
+        parted += weight * dead
+    return max(1, math.ceil(math.log(missed) / math.log(min(max(parted, 1e-12), 1 - 1e-9))))
+
+
+def least_agreeing(places: int, similarity: float, missed: float) -> int:
+    """Number of places below which a pair agrees with probability ``missed`` at most."""
+    below = np.cumsum(agreeing(places, similarity))
+    return int(np.searchsorted(below, missed, "right"))
 
 
 def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +97,9 @@ def slices(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterat
         start = stop
 
 
-def signatures(frame: DataFrame, width: int) -> DataFrame:
+def signatures(frame: DataFrame, width: int, places: int) -> DataFrame:
     """(key, tie, n_shingles, one, two, signature) of (key, text, tie) rows."""
+    each = seeds(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,29 +107,34 @@ def signatures(frame: DataFrame, width: int) -> DataFrame:
                 shingles, starts = shingle_sets(part.column(1), width)
                 sizes = np.diff(starts)
                 one, two = set_hashes(shingles, starts)
-                least = np.zeros((part.num_rows, PLACES), np.uint32)
+                least = np.zeros((part.num_rows, places), np.uint32)
                 full = np.flatnonzero(sizes)
                 if len(full):
-                    for place, seed in enumerate(SEEDS):
+                    for place, seed in enumerate(each):
                         values = ((shingles ^ seed) * (seed | np.uint64(1))) >> np.uint64(32)
                         least[full, place] = np.minimum.reduceat(values, starts[full])
-                signature = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * PLACES), pa.array(least.view(np.int32).ravel()))
+                signature = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * places), pa.array(least.view(np.int32).ravel()))
                 columns = [part.column(0), part.column(2), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), signature]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "tie", "n_shingles", "one", "two", "signature"])
 
     return frame.mapInArrow(run, "key long, tie long, n_shingles long, one long, two long, signature array<int>")
 
 
-def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, pivots: int = 4) -> DataFrame:
-    """(a, b) between classes that meet in some node and agree on half of their signatures; a forest per node.
+def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, similarity: float, missed: float, pivots: int = 4) -> DataFrame:
+    """(a, b) between classes that meet in some node and agree on enough of their signatures; a forest per node.
 
-    In a large node every member is first compared with a few pivots. Members that agree with one on three quarters
-    are settled: whatever is similar to them agrees with that pivot on half, too. The others branch. So a dense
-    group takes as many comparisons as it has members.
+    In a large node every member is first compared with a few pivots. Members that agree with one closely are
+    settled: whatever is similar to them agrees with that pivot on half of the places, too. The others branch. So a
+    dense group takes as many comparisons as it has members.
     """
-    child = lambda node, place: F.xxhash64(node, place, F.get(F.col("signature"), place))
-    starts = F.array(*[F.xxhash64(F.lit(p), F.get(F.col("signature"), F.lit(p))) for p in range(2 * trees)])
-    level = sets.select("cid", F.explode(starts).alias("node"))
+    places = PLACES * trees
+    least = least_agreeing(PLACES, similarity, missed)
+    half = places // 2
+    close = places + half - least_agreeing(places, similarity, missed)  # a partner differs from a settled one at the other places at most
+    child = lambda place: F.xxhash64(F.col("node"), place, F.get(F.col("signature"), place))
+    roots = [t * PLACES + p for t in range(trees) for p in range(2)]
+    starts = F.array(*[F.struct(F.lit(p // PLACES).alias("tree"), F.xxhash64(F.lit(p), F.get(F.col("signature"), F.lit(p))).alias("node")) for p in roots])
+    level = sets.select("cid", F.explode(starts).alias("at")).select("cid", "at.tree", "at.node")
     leaves, found = [], []
     for step in range(depth + 1):
         level = written(level, "nodes")
@@ -114,17 +150,18 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, pi
         )
         near = large.join(chosen, "node")
         agreed = [F.size(F.filter(F.zip_with("signature", f"pivot{j}.signature", lambda x, y: x == y), lambda same: same)) for j in range(pivots)]
-        linked = F.array(*[F.when(a * 2 >= PLACES, F.col(f"pivot{j}.cid")) for j, a in enumerate(agreed)])
-        settled = F.coalesce(F.greatest(*[F.coalesce(a, F.lit(0)) for a in agreed]) * 4 >= 3 * PLACES, F.lit(False))
-        near = written(near.select("cid", "node", "signature", linked.alias("linked"), settled.alias("settled")), "near")
+        linked = F.array(*[F.when(a >= half, F.col(f"pivot{j}.cid")) for j, a in enumerate(agreed)])
+        settled = F.coalesce(F.greatest(*[F.coalesce(a, F.lit(0)) for a in agreed]) >= close, F.lit(False))
+        near = written(near.select("cid", "tree", "node", "signature", linked.alias("linked"), settled.alias("settled")), "near")
         found.append(near.select(F.col("cid").alias("a"), F.explode(F.array_compact("linked")).alias("b")).where("a <> b"))
-        places = [F.pmod(F.xxhash64("node", F.lit(j)), F.lit(PLACES)).cast("int") for j in range(2)]
-        level = near.where("NOT settled").select("cid", F.explode(F.array_distinct(F.array(*[child(F.col("node"), p) for p in places]))).alias("node"))
+        first = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(PLACES)).cast("int")
+        second = F.pmod(first + 1 + F.pmod(F.xxhash64("node", F.lit(1)), F.lit(PLACES - 1)).cast("int"), F.lit(PLACES))  # never the first
+        level = near.where("NOT settled").select("cid", "tree", F.explode(F.array(*[child(F.col("tree") * PLACES + p) for p in (first, second)])).alias("node"))
     met = leaves[0]
     for leaf in leaves[1:]:
         met = met.unionByName(leaf)
     tasks = block_tasks(met.withColumn("blocks", F.ceil(F.col("n") / node_limit)), "node", "cid", "blocks").select("task", "cid")
-    tasks = tasks.join(sets, "cid").select("task", "cid", "signature")
+    tasks = tasks.join(sets, "cid").select("task", "cid", F.slice("signature", 1, PLACES).alias("signature"))
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
         cids = table.column("cid").to_numpy()
@@ -133,7 +170,7 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, pi
         values = values[own]
         forest = Forest(len(cids))
         for i in range(len(cids) - 1):
-            near = np.flatnonzero((values[i + 1 :] == values[i]).sum(axis=1) * 2 >= PLACES) + i + 1
+            near = np.flatnonzero((values[i + 1 :] == values[i]).sum(axis=1) >= least) + i + 1
             if len(near):
                 forest.join(np.append(near, i))
         moved = np.flatnonzero(forest.root != np.arange(len(cids)))
@@ -182,7 +219,7 @@ def confirmed(sets: list[np.ndarray], percent: int) -> np.ndarray:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, width: int = 5, trees: int = 4, node_limit: int = 2000, depth: int = 10,
+    docs: DataFrame, percent: int = 85, width: int = 5, missed: float = 1e-6, node_limit: int = 2000, depth: int = 10,
     shingles_per_block: int = 2_000_000, key: str = "doc_id", text: str = "text",
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept, tie, chosen): components of links with Jaccard similarity of ``percent`` or more.
@@ -190,13 +227,17 @@ def near_duplicates(
     ``tie`` is a hash of the text and ``chosen`` marks one (key, tie) of each component, the smallest. Rows with equal sets are linked. ``component_id`` is the smallest key reachable, null if all are null. Rows without words link with nothing
     and are their own component. Rows that repeat a key share what any of them is linked to only through their
     texts. An empty table gives no rows; other columns are not read.
+    A link of similarity ``percent`` is missed with probability ``missed`` at most: half of it for parting in all trees,
+    half for signatures that agree on too few places.
     """
+    similarity = percent / 100
+    trees = tree_count(similarity, missed / 2, depth)
     frame = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     frame = frame.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
-    signed = written(signatures(frame, width), "signatures")
+    signed = written(signatures(frame, width, PLACES * trees), "signatures")
     classes = signed.where("n_shingles > 0").groupBy("one", "two").agg(F.min(_place()).alias("place"), F.min("signature").alias("signature"), F.first("n_shingles").alias("n"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    groups = written(components(candidate_edges(classes.select("cid", "signature"), trees, node_limit, depth)), "groups")
+    groups = written(components(candidate_edges(classes.select("cid", "signature"), trees, node_limit, depth, similarity, missed / 4)), "groups")
     members = classes.join(groups.withColumnRenamed("id", "cid"), "cid").select("cid", "one", "two", F.col("place.key").alias("key"), "n", "component")
     members = written(members, "members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / shingles_per_block).alias("blocks"))

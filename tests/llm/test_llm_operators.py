@@ -206,6 +206,29 @@ def test_near_duplicates_find_all_links(spark):
         assert [got[i] for i in range(len(texts))] == root
 
 
+def test_near_duplicates_at_a_low_percentage(spark):
+    texts = []
+    for pair in range(100):
+        base = [f"p{pair}w{i}" for i in range(204)]
+        texts += [" ".join(base), " ".join(base[:155] + [f"y{pair}w{i}" for i in range(49)])]  # 151 of 249 shingles are shared
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame, percent=60, node_limit=2, depth=4).collect()}
+    assert got == {i: i - i % 2 for i in range(len(texts))}
+
+
+@pytest.mark.parametrize("similarity", [0.85, 0.8, 0.6])
+def test_tree_count_against_simulation(similarity):
+    rng = np.random.default_rng(4)
+    apart, runs = 0, 4000
+    for _ in range(runs):
+        agree, alive = rng.binomial(minhash.PLACES, similarity), 1
+        for _ in range(11):
+            alive = int(rng.hypergeometric(agree, minhash.PLACES - agree, 2, size=min(alive, 30)).sum())
+        apart += alive == 0
+    trees = minhash.tree_count(similarity, 1e-6, 10)
+    assert (apart / runs) ** trees <= 5e-6 and minhash.tree_count(similarity, 1e-12, 10) > trees
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 130)] + [(7, 7)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
