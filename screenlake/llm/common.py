@@ -33,6 +33,12 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def default_pieces() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def text_slices(batch: pa.RecordBatch, column: str, chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
     """(first row, whole texts) in slices of about ``chars`` characters, so that word lists stay small."""
     texts = batch.column(batch.schema.get_field_index(column))

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from screenlake.llm import bpe, minhash, packing, pii, puscore, quality, rans, substring, vectors, warc
-from screenlake.llm.common import default_tokenizer, sha256_hex, table
+from screenlake.llm import align, bpe, licences, minhash, packing, pii, puscore, quality, rans, search, substring, vectors, warc
+from screenlake.llm.common import default_pieces, default_tokenizer, sha256_hex, table
 from screenlake.session import scratch_path
 
 #: Ids of the default tokenizer file: 50,256 of its model and one special token.
@@ -166,6 +166,45 @@ def op10_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.id_digests(bpe.decode(encoded, path), VOCABULARY)
 
 
+def op11_suffix_automaton_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licences.scan(table(spark, folder, "documents")).drop("spans")
+
+
+def op12_pointer_jumping_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(table(spark, folder, "documents"), default_tokenizer(), default_pieces())
+
+
+def op13_ball_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+OP13_SQL = r"""
+WITH lowered AS (
+    SELECT doc_id, text, 'd' AS kind FROM documents UNION ALL SELECT item_id, text, 'i' FROM benchmark
+), words AS (
+    SELECT kind, doc_id, unnest(list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS term
+    FROM lowered
+), tf AS (
+    SELECT doc_id, term, count(*) AS tf FROM words WHERE kind = 'd' GROUP BY ALL
+), len AS (
+    SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL
+), size AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM len
+), weight AS (
+    SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM tf GROUP BY ALL) CROSS JOIN size
+), item AS (
+    SELECT DISTINCT doc_id AS item_id, term FROM words WHERE kind = 'i'
+), scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+    FROM item JOIN weight USING (term) JOIN tf USING (term) JOIN len USING (doc_id) CROSS JOIN size GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 50
+"""
+
+
 QUERIES = {
     "op1_disclosure_sanitise": op1_disclosure_sanitise,
     "op2_count_min_substrings": op2_count_min_substrings,
@@ -177,5 +216,8 @@ QUERIES = {
     "op8_distribution_divergence": op8_distribution_divergence,
     "op9_rans_tokens": op9_rans_tokens,
     "op10_pair_index_bpe": op10_pair_index_bpe,
+    "op11_suffix_automaton_licences": op11_suffix_automaton_licences,
+    "op12_pointer_jumping_alignment": op12_pointer_jumping_alignment,
+    "op13_ball_tree_search": op13_ball_tree_search,
 }
-ORACLES = {"op8_distribution_divergence": _op8_sql(), "op7_chosen_path_minhash": OP7_SQL, "op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL}
+ORACLES = {"op8_distribution_divergence": _op8_sql(), "op7_chosen_path_minhash": OP7_SQL, "op2_count_min_substrings": OP2_SQL, "op3_segment_reassembly": OP3_SQL, "op13_ball_tree_search": OP13_SQL}
