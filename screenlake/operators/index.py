@@ -6,8 +6,10 @@ Three ways to number rows, picked by what the order is:
   ranked on its own and shifted by a table of at most 65,536 bucket offsets;
 * by any key: range partitioning, then Spark's own per-partition numbering
   shifted by one offset per partition;
-* inside groups, by a whole-number key: a group is cut into blocks of key
-  range, so no task ever holds more than one block of a hot group.
+* inside groups, by any key: a segmented scan. Rows are range partitioned on
+  (group, key) with borders drawn from the data, each partition is numbered or
+  summed on its own, and one offset per group and partition is joined back, so
+  a hot group is as many tasks as it has partitions.
 """
 
 from __future__ import annotations
@@ -235,8 +237,33 @@ def batches(
 # ------------------------------------------------------- orders inside groups
 
 
-def _blocked(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn("_block", F.floor(F.col(order) / width))
+def _ranged(df: DataFrame, group: str, order: str, extra: dict[str, Column], partitions: int | None) -> DataFrame:
+    """Rows that have group and key, written in their order; ``_part`` and ``_row`` number partitions and rows in them.
+
+    The place in the input is the last sort key: rows that repeat a key can part as well. The table is written once,
+    since borders come from a sample.
+    """
+    keys = [group, order, "_seq"]
+    placed = df.withColumns({"_seq": F.monotonically_increasing_id(), **extra})
+    placed = placed.filter(F.col(group).isNotNull() & F.col(order).isNotNull())
+    ranged = placed.repartitionByRange(partitions, *keys) if partitions else placed.repartitionByRange(*keys)
+    tagged = ranged.sortWithinPartitions(*keys).drop("_seq").withColumn("_tag", F.monotonically_increasing_id())
+    stored = materialize(tagged, "scanned")
+    return stored.withColumns({"_part": F.shiftright("_tag", 33), "_row": F.col("_tag").bitwiseAND(F.lit((1 << 33) - 1))})
+
+
+def _offsets(stored: DataFrame, group: str, amount: Column) -> DataFrame:
+    """Per group and partition: its ``_first`` row, the ``_before`` of the group in earlier partitions, the group's ``_all``.
+
+    A window here holds one row per partition of a group. The table is written, so that Spark knows its size.
+    """
+    parts = stored.groupBy(group, "_part").agg(F.min("_row").alias("_first"), amount.alias("_sum"))
+    sums = {"_before": _before("_sum", ["_part"], [group]), "_all": F.sum("_sum").over(Window.partitionBy(group))}
+    return materialize(parts.withColumns(sums).drop("_sum"), "offsets")
+
+
+def _without_place(df: DataFrame, group: str, order: str) -> DataFrame:
+    return df.filter(F.col(group).isNull() | F.col(order).isNull())
 
 
 def group_position(
@@ -245,39 +272,31 @@ def group_position(
     order: str,
     out: str = "position",
     total: str | None = None,
-    width: int = 1 << 20,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Position (from 0) inside ``group`` by the whole-number key ``order``.
+    """Position (from 0) inside ``group`` by the key ``order``, which may have any type that can be sorted.
 
-    With a key that is unique per group, one task sorts at most ``width`` rows
-    of a group, however many the group has. A row without group or key stays,
-    with no position.
+    Equal keys keep some order. A row without group or key stays where it is, with no position. ``partitions``
+    overrides the session's number of shuffle partitions.
     """
-    blocked = _blocked(df, order, width)
-    sizes = blocked.filter("_block IS NOT NULL").groupBy(group, "_block").agg(F.count("*").alias("_size"))
-    offsets = sizes.select(
-        group,
-        "_block",
-        _before("_size", ["_block"], [group]).alias("_before"),
-        F.sum("_size").over(Window.partitionBy(group)).alias("_total"),
-    )
-    rank = F.row_number().over(Window.partitionBy(group, "_block").orderBy(order))
-    placed = blocked.withColumn("_rank", rank).join(offsets, [group, "_block"], "left")
-    columns = [F.col(c) for c in df.columns] + [(F.col("_before") + F.col("_rank") - 1).alias(out)]
-    if total:
-        columns.append(F.col("_total").alias(total))
-    return placed.select(*columns)
+    stored = _ranged(df, group, order, {}, partitions)
+    placed = stored.join(_offsets(stored, group, F.count("*")), [group, "_part"])
+    columns = {out: F.col("_before") + F.col("_row") - F.col("_first")} | ({total: F.col("_all")} if total else {})
+    found = placed.select(*df.columns, *[value.alias(name) for name, value in columns.items()])
+    return found.unionByName(_without_place(df, group, order), allowMissingColumns=True)
 
 
 def running_total(
-    df: DataFrame, group: str, order: str, value: str | Column, out: str, width: int = 1 << 20
+    df: DataFrame, group: str, order: str, value: str | Column, out: str, partitions: int | None = None
 ) -> DataFrame:
-    """Running sum of ``value`` inside ``group`` by the whole-number key ``order``; missing values add nothing."""
+    """Running sum of ``value`` inside ``group`` by the key ``order``; missing values add nothing.
+
+    A row without group or key stays, with no sum.
+    """
     amount = F.col(value) if isinstance(value, str) else value
-    blocked = _blocked(df, order, width).withColumn("_amount", F.coalesce(amount, F.lit(0)))
-    sums = blocked.filter("_block IS NOT NULL").groupBy(group, "_block").agg(F.sum("_amount").alias("_size"))
-    offsets = sums.select(group, "_block", _before("_size", ["_block"], [group]).alias("_before"))
-    within = Window.partitionBy(group, "_block").orderBy(order)
-    local = F.sum("_amount").over(within.rowsBetween(Window.unboundedPreceding, 0))
-    placed = blocked.withColumn("_local", local).join(offsets, [group, "_block"], "left")
-    return placed.select(*df.columns, (F.col("_before") + F.col("_local")).alias(out))
+    stored = _ranged(df, group, order, {"_amount": F.coalesce(amount, F.lit(0))}, partitions)
+    within = Window.partitionBy(group, "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    summed = stored.withColumn("_local", F.sum("_amount").over(within))
+    placed = summed.join(_offsets(stored, group, F.sum("_amount")), [group, "_part"])
+    found = placed.select(*df.columns, (F.col("_before") + F.col("_local")).alias(out))
+    return found.unionByName(_without_place(df, group, order), allowMissingColumns=True)

@@ -82,27 +82,55 @@ def test_group_number(spark, rows):
     assert rows(index.group_number(df, "root"), "i", "group_number") == [(0, "1"), (1, "0"), (2, "1"), (3, None)]
 
 
-@pytest.mark.parametrize("width", [1, 4, 1 << 20])
-def test_group_positions_in_blocks(spark, width):
-    """A hot group with two thirds of the rows, cut into blocks of any width."""
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_group_positions(spark, partitions):
+    """A hot group with two thirds of the rows, over any number of partitions."""
     df = spark.range(300).select("id", F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 7 + 1).alias("g"))
-    got = index.group_position(df, "g", "id", total="n", width=width).collect()
+    got = index.group_position(df, "g", "id", total="n", partitions=partitions).collect()
     for g in {r.g for r in got}:
         members = sorted((r.id, r.position, r.n) for r in got if r.g == g)
         assert [m[1] for m in members] == list(range(len(members)))
         assert all(m[2] == len(members) for m in members)
 
 
-def test_rows_without_group_or_key_stay(spark):
-    df = spark.createDataFrame([(0, 1), (None, 2), (0, None)], "g int, id long")
-    got = {(r.g, r.id): r.position for r in index.group_position(df, "g", "id").collect()}
-    assert got == {(0, 1): 0, (None, 2): None, (0, None): None}
-
-
-@pytest.mark.parametrize("width", [3, 1 << 20])
-def test_running_total_in_blocks(spark, width):
+def test_hot_group_with_far_keys_is_spread(spark):
+    """A third of the rows in one group, keys 2,000,000 apart: no partition holds more than about its share of the rows."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("g"), (F.col("id") * 2_000_000).alias("k"), F.lit(1).alias("v")
+    ).repartition(4)
+    stored = index._ranged(df, "g", "k", {}, 30).cache()
+    sizes = [r["count"] for r in stored.groupBy("_part").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 3_000
+    hot = [r["count"] for r in stored.filter("g = 0").groupBy("_part").count().collect()]
+    assert sum(hot) == 10_000 and len(hot) >= 8
+    got = index.running_total(index.group_position(df, "g", "k", partitions=30), "g", "k", "v", "s", partitions=30)
+    assert got.filter("g = 0 AND (position <> k / 6000000 OR s <> position + 1)").count() == 0
+    assert got.filter("g <> 0 AND (position <> 0 OR s <> 1)").count() == 0
+
+
+def test_rows_without_group_or_key_stay_where_they_are(spark):
+    df = spark.createDataFrame([(0, 1), (None, 2), (0, None), (0, None)], "g int, id long")
+    got = sorted(((r.g, r.id, r.position, r.n) for r in index.group_position(df, "g", "id", total="n").collect()), key=str)
+    assert got == [(0, 1, 0, 1), (0, None, None, None), (0, None, None, None), (None, 2, None, None)]
+    many = spark.range(0, 1000, 1, 8).select(F.lit(1).alias("g"), F.when(F.col("id") < 0, 1).alias("k"), F.lit(1).alias("v"))
+    for found in (index.group_position(many, "g", "k"), index.running_total(many, "g", "k", "v", "s")):
+        assert found.groupBy(F.spark_partition_id()).count().count() == 8
+        assert found.drop("g", "k", "v").toDF("x").filter("x IS NOT NULL").count() == 0
+
+
+def test_keys_of_any_kind_and_repeated_keys(spark):
+    df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("a", "y", 2), ("a", "z", 4), ("b", "x", 8)], "g string, k string, v int")
+    got = index.group_position(df, "g", "k", partitions=4).collect()
+    assert sorted((r.g, r.k, r.position) for r in got) == [("a", "x", 0), ("a", "y", 1), ("a", "y", 2), ("a", "z", 3), ("b", "x", 0)]
+    sums = index.running_total(df, "g", "k", "v", "s", partitions=4).collect()
+    assert sorted((r.g, r.k, r.s) for r in sums) == [("a", "x", 1), ("a", "y", 3), ("a", "y", 5), ("a", "z", 9), ("b", "x", 8)]
+    assert index.running_total(df.limit(0), "g", "k", "v", "s").count() == 0
+
+
+@pytest.mark.parametrize("partitions", [2, 30])
+def test_running_total(spark, partitions):
     df = spark.range(-10, 40).select(F.col("id").alias("t"), (F.col("id") % 2).alias("g"), F.lit(2).alias("v"))
-    got = index.running_total(df, "g", "t", "v", "s", width=width).collect()
+    got = index.running_total(df, "g", "t", "v", "s", partitions=partitions).collect()
     for g in {r.g for r in got}:
         sums = [r.s for r in sorted((r for r in got if r.g == g), key=lambda r: r.t)]
         assert sums == [2 * (i + 1) for i in range(len(sums))]
@@ -110,5 +138,5 @@ def test_running_total_in_blocks(spark, width):
 
 def test_running_total_over_missing_values(spark):
     df = spark.createDataFrame([(0, 0, None), (0, 1, 2), (0, 2, None), (0, 3, 5)], "g int, t int, v int")
-    got = index.running_total(df, "g", "t", "v", "s", width=1).orderBy("t").collect()
+    got = index.running_total(df, "g", "t", "v", "s", partitions=3).orderBy("t").collect()
     assert [r.s for r in got] == [0, 2, 2, 7]
