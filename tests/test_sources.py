@@ -2,7 +2,6 @@ import math
 
 import pytest
 
-from screenlake import session
 from screenlake.sources import files
 from screenlake.sources.matrix import SCHEMAS, read_matrix_tables
 
@@ -112,42 +111,3 @@ def test_matrix_tables_as_csv(spark, tmp_path, rows):
     assert got == [("c1", "g1", "A", 5.0)]
     with pytest.raises(ValueError):
         read_matrix_tables(spark, folder, "h5")
-
-
-def test_reuse_or_build(spark, tmp_path):
-    built = []
-
-    def build():
-        built.append(1)
-        return spark.range(3)
-
-    def run(**options):
-        return session.reuse_or_build(spark, str(tmp_path), "t", {"a": 1}, build, **options).count()
-
-    assert (run(), run(), len(built)) == (3, 3, 1)
-    assert (run(overwrite=True), len(built)) == (3, 2)
-    session.reuse_or_build(spark, str(tmp_path), "t", {"a": 2}, build)
-    assert len(built) == 3
-
-
-def test_scratch_folder_follows_the_session(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    path = session.scratch_path(spark, "x")
-    assert path.startswith(configured.rstrip("/") if configured else spark.sparkContext.getCheckpointDir())
-    assert session.scratch_path(spark, "x") != path
-
-
-class Cluster:
-    """A session that names no folder and does not run in local mode."""
-
-    class conf:
-        get = staticmethod(lambda key, default: default)
-
-    class sparkContext:
-        master = "yarn"
-        getCheckpointDir = staticmethod(lambda: None)
-
-
-def test_no_machine_local_scratch_on_a_cluster():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.scratch_root(Cluster)
