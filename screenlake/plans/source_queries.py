@@ -30,6 +30,56 @@ def load_splits(spark, sf_dir):
     return files.load_splits(spark, paths, TALK_SCHEMA)
 
 
+SPOILED_SQL = """
+    WITH t AS (SELECT CASE role WHEN 'user' THEN 'train' ELSE 'test' END AS split, conv_id::VARCHAR AS c, turn::VARCHAR AS n, role,
+                      CASE WHEN conv_id % 5 = 1 THEN 'n' ELSE '' END || conv_id::VARCHAR AS bad_c,
+                      CASE WHEN turn % 3 = 1 THEN turn::VARCHAR || '.x' ELSE turn::VARCHAR END AS bad_n,
+                      conv_id % 11 = 3 AS short, conv_id % 11 = 4 AS long FROM conversations)"""
+
+
+def _spoiled(spark, sf_dir):
+    """Conversations as CSV and JSON lines, some with text in number columns, too few or too many fields, or a broken object."""
+    talk = b.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    conv = F.concat(F.when(F.col("conv_id") % 5 == 1, "n").otherwise(""), F.col("conv_id").cast("string"))
+    turn = F.when(F.col("turn") % 3 == 1, F.concat(F.col("turn").cast("string"), F.lit(".x"))).otherwise(F.col("turn").cast("string"))
+    few, many = F.col("conv_id") % 11 == 3, F.col("conv_id") % 11 == 4
+    line = F.when(few, F.concat_ws(",", conv, turn)).when(many, F.concat_ws(",", conv, turn, "role", F.lit("more"))).otherwise(F.concat_ws(",", conv, turn, "role"))
+    json = F.concat(F.lit('{"conv_id":"'), conv, F.lit('","turn":"'), turn, F.lit('","role":"'), F.col("role"), F.when(few, '"').otherwise('"}'))
+    root = scratch_path(spark, "spoiled")
+    # One column that is named like the header line, and separators that no line holds: lines are written as they are.
+    lines = talk.filter("role = 'user'").select(line.alias("conv_id,turn,role"))
+    lines.write.options(header=True, sep="\u0001", quote="\u0002").csv(f"{root}/train.csv")
+    talk.filter("role <> 'user'").select(json.alias("value")).write.text(f"{root}/test.json")
+    return {"train": f"{root}/train.csv", "test": f"{root}/test.json"}, "conv_id BIGINT, turn BIGINT, role STRING"
+
+
+@query(
+    "load_splits_rejects",
+    SPOILED_SQL + """, r AS (
+        SELECT split, bad_c, bad_n, role,
+               CASE WHEN split = 'train' AND short THEN bad_c || ',' || bad_n WHEN split = 'train' AND long THEN bad_c || ',' || bad_n || ',' || role || ',more'
+                    WHEN split = 'test' AND short THEN '{"conv_id":"' || bad_c || '","turn":"' || bad_n || '","role":"' || role || '"' END AS broken,
+               concat_ws('; ', CASE WHEN bad_c <> c THEN 'conv_id is no bigint: ' || bad_c END, CASE WHEN bad_n <> n THEN 'turn is no bigint: ' || bad_n END) AS wrong
+        FROM t)
+    SELECT split, CASE WHEN broken IS NULL THEN wrong ELSE 'malformed record' END AS reason,
+           coalesce(broken, '{"conv_id":"' || bad_c || '","turn":"' || bad_n || '","role":"' || role || '"}') AS record
+    FROM r WHERE broken IS NOT NULL OR wrong <> ''""",
+)
+def load_splits_rejects(spark, sf_dir):
+    paths, schema = _spoiled(spark, sf_dir)
+    return files.split_rejects(spark, paths, schema, multi_line=False).select("split", "reason", "record")
+
+
+@query(
+    "load_splits_accepted",
+    SPOILED_SQL + """ SELECT split, c::BIGINT AS conv_id, n::BIGINT AS turn, role FROM t
+        WHERE bad_c = c AND bad_n = n AND NOT short AND NOT (split = 'train' AND long)""",
+)
+def load_splits_accepted(spark, sf_dir):
+    paths, schema = _spoiled(spark, sf_dir)
+    return files.load_splits(spark, paths, schema, multi_line=False, rejects="drop")
+
+
 @query(
     "read_delimited",
     """SELECT l_suppkey::VARCHAR AS protein1, l_partkey::VARCHAR AS protein2, p_name AS preferred_name

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from screenlake.sources import files
 from screenlake.sources.matrix import SCHEMAS, read_matrix_tables
@@ -34,6 +35,52 @@ def test_splits_of_both_formats(spark, tmp_path, rows):
     assert [t or "" for _, t in rows(got.filter("split = 'train'"), "i", "t")] == [t or "" for t in HARD]
 
 
+def test_rejects_name_their_file_and_reason(spark, tmp_path, rows):
+    lines = ["i,t,more", '1,"a ""q"", x",z', "x,b,z", "3,c", "4,d,z,w", "5,,", ",f,z", "9999999999,g,z", '7,"two', 'lines",z']
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n")
+    name, schema = str(tmp_path / "a.csv"), "t string, i int"
+    whole = files.read_csv(spark, name, schema, rejects="drop")
+    assert whole.columns == ["t", "i", "more"]
+    assert rows(whole, "i", "t") == [(1, 'a "q", x'), (5, None), (7, "two\nlines"), (None, "f")]
+    bad = files.csv_rejects(spark, name, schema)
+    assert rows(bad, "reason", "record") == [
+        ("i is no int: 9999999999", '{"i":"9999999999","t":"g","more":"z"}'), ("i is no int: x", '{"i":"x","t":"b","more":"z"}'),
+        ("malformed record", "3,c"), ("malformed record", "4,d,z,w"),
+    ]
+    assert all(r.file.endswith("a.csv") for r in bad.collect())
+    # what a query reads does not change what is malformed
+    assert whole.select("i").count() == 4 and bad.select("file").count() == 4 and whole.count() == 4
+    by_line = files.read_csv(spark, name, schema, multi_line=False, rejects="drop")
+    assert rows(by_line, "i", "t") == [(1, 'a "q", x'), (5, None), (None, "f")]
+    assert files.csv_rejects(spark, name, schema, multi_line=False).count() == 6
+    with pytest.raises(Exception, match=r"a\.csv: (malformed record|i is no int)"):
+        files.read_csv(spark, name, schema).collect()
+    with pytest.raises(ValueError, match="no column"):
+        files.read_csv(spark, name, "absent int")
+    with pytest.raises(ValueError, match="to fail or to drop"):
+        files.read_csv(spark, name, schema, rejects="x")
+
+
+def test_plain_csv_is_split_into_tasks(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("i,t\n" + "".join(f"{i},text {i}\n" for i in range(200_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        read = {m: files.read_csv(spark, str(tmp_path / "big.csv"), "i int, t string", multi_line=m) for m in (True, False)}
+        tasks = {m: frame.select(F.spark_partition_id()).distinct().count() for m, frame in read.items()}
+        assert tasks[True] == 1 and tasks[False] >= 8
+        assert read[False].agg(F.sum("i")).first()[0] == read[True].agg(F.sum("i")).first()[0] == 199_999 * 100_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_json_rejects(spark, tmp_path, rows):
+    (tmp_path / "a.json").write_text('{"i":1,"t":"a"}\n{"i":"x","t":"b"}\n{"i":3\n{"t":"d"}\n')
+    path = {"test": str(tmp_path / "a.json")}
+    assert rows(files.load_splits(spark, path, "i int, t string", rejects="drop"), "i", "t") == [(1, "a"), (None, "d")]
+    assert [r[0] for r in rows(files.split_rejects(spark, path, "i int, t string"), "reason", "record")] == ["i is no int: x", "malformed record"]
+
+
 def test_existing_target_is_refused(spark, tmp_path):
     df, path = spark.range(1), str(tmp_path / "out.csv")
     files.write_csv(df, path)
