@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from screenlake.functions.arrays import clip, col, let, log_sum_exp
+from screenlake.functions.arrays import clip, col, let, log_sum_exp, total
 
 # Fixed value: probabilities are kept this far away from 0 and 1.
 EPSILON = 1e-5
@@ -53,14 +53,19 @@ def smoothed_cross_entropy(logits: str | Column, label: str | Column, smoothing:
     Written as ``logsumexp - sum(target * logits)``: the target is constant off
     the label, so one pass over the logits gives both sums.
     """
-    x, size = col(logits), F.size(col(logits))
+    x = col(logits)
+    return smoothed_from_sums(log_sum_exp(x), total(x), F.get(x, col(label)).cast("double"), F.size(x), smoothing)
+
+
+def smoothed_from_sums(
+    norm: str | Column, everything: str | Column, on_label: str | Column, size: Column, smoothing: float = 0.0
+) -> Column:
+    """The same from the log-sum-exp, the sum and the label's own of ``size`` logits."""
     confidence = 1.0 - smoothing
     low = (F.lit(1.0) - confidence) / (size - 1)
     floor = -(confidence * math.log(confidence) + (size - 1) * low * F.log(low + 1e-20))
-    everything = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + v.cast("double"))
-    on_label = F.get(x, col(label)).cast("double")
-    expected = low * everything + (confidence - low) * on_label
-    return log_sum_exp(x) - expected - floor
+    expected = low * col(everything) + (confidence - low) * col(on_label)
+    return col(norm) - expected - floor
 
 
 def soft_cross_entropy(scores: str | Column, targets: str | Column) -> Column:

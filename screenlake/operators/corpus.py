@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from screenlake.functions.rouge import rouge, rouge_means
+from screenlake.functions.rouge import KINDS, SUBSEQUENCES, rouge, rouge_means
 from screenlake.functions.text import as_text, file_root, parent_dir, sentence_lines, strip, token_count, with_prefix
 from screenlake.operators import index, metrics
+from screenlake.operators.sentences import sentence_lines as split_sentences
 from screenlake.session import materialize
 from screenlake.sources import files
 
@@ -225,31 +226,38 @@ def evaluate(
     answer: str = "correct_answer",
     stem: bool = True,
     prefix: str = "test_",
-    scores: tuple[str, ...] = ("rouge1", "rouge2", "rougeL", "rougeLsum"),
+    scores: tuple[str, ...] = KINDS,
+    abbreviations: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows with predictions and correct, metric/value table)``.
 
-    Accuracy, ROUGE, mean length and, where token scores are given, the mean of
-    the batch losses. All row metrics come from a single aggregate. Predictions
-    are written, so the model runs once for both results; without a predictor
-    the rows must bring their ``predictions``.
+    Accuracy, ROUGE, mean length and, where token scores are given, the mean of the batch losses. Rows and predictions
+    are written once, numbered; without a predictor the rows must bring their ``predictions``. Sentences for
+    ROUGE-Lsum end at marks, and not behind ``abbreviations`` where a table of them is given.
     """
-    predicted = df if predictor is None else materialize(predict(df, predictor, prompt), "predicted")
+    predicted = df if predictor is None else predict(df, predictor, prompt)
     marked = metrics.mark_exact(predicted, "predictions", answer)
-    sides = [sentence_lines(strip(side)) for side in ("predictions", answer)]
+    numbered = materialize(marked.withColumn("_row", F.monotonically_increasing_id()), "predicted")
+    sides = ["_p", "_y"]
+    texts = numbered.select("_row", strip("predictions").alias("_p"), strip(answer).alias("_y"))
+    for side in sides:
+        texts = texts.withColumn(side, sentence_lines(side)) if abbreviations is None else split_sentences(texts, abbreviations, side)
     hit = F.count_if("correct")
-    summary = marked.withColumn("_scores", rouge(*sides, scores, stem)).agg(
+    summary = numbered.agg(
         hit.alias("num_correct"),
         F.count("*").alias("num_total"),
         F.try_divide(hit, F.count("*")).alias("accuracy"),
         F.avg(token_count("predictions")).alias("gen_len"),
-        *rouge_means("_scores", scores),
     )
     report = metrics.prefixed(summary, prefix, digits=4)
+    for kinds in ([k for k in scores if k not in SUBSEQUENCES], [k for k in scores if k in SUBSEQUENCES]):
+        if kinds:
+            means = rouge(texts, "_row", *sides, tuple(kinds), stem).agg(*rouge_means(tuple(kinds)))
+            report = report.unionByName(metrics.prefixed(means, prefix, digits=4))
     if token_scores is not None:
         loss = metrics.mean_of_batch_ratios(token_scores, "logits", "label", "mask")
         report = report.unionByName(metrics.prefixed(loss, prefix, digits=4))
-    return marked, report
+    return numbered.drop("_row"), report
 
 
 def evaluate_file(

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.functions import losses
-from screenlake.functions.arrays import col
+from screenlake.functions.arrays import col, let, total
 from screenlake.functions.text import strip
 from screenlake.operators import index
-
-# Up to this many rows a head is taken by top-k.
+from screenlake.session import materialize
 
 # ------------------------------------------------------------------ accuracies
 
@@ -80,6 +79,37 @@ def mean_of_batch_ratios(
     return masked_cross_entropy(df, logits, label, mask, smoothing, [batch]).agg(F.avg("loss").alias("loss"))
 
 
+def block_cross_entropy(
+    df: DataFrame, keys: list[str], logits: str, first: str, label: str, size: int, smoothing: float = 0.0
+) -> DataFrame:
+    """Per token (``keys``) its smoothed cross-entropy, from rows that hold a block of its vocabulary each.
+
+    ``first`` is the vocabulary number of a block's first logit and ``size`` the size of the whole vocabulary. A block
+    shrinks to its largest logit, its scaled sum of exponentials, its sum, and the logit of the label if it holds
+    that; tokens are put together from these four numbers, so no row has a list as long as the vocabulary. The label
+    stands in every row of a token. A token without the block of its label has no loss.
+    """
+    top = F.array_max(logits).cast("double")
+    scaled = let(top, lambda t: F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - t)))
+    own = F.get(F.col(logits), F.col(label) - F.col(first)).cast("double")
+    held = F.when(F.col(label) >= F.col(first), own)
+    blocks = df.select(*keys, top.alias("_top"), scaled.alias("_scaled"), total(logits).alias("_sum"), held.alias("_own"))
+    # The window and the sums below share one shuffle of four numbers per block.
+    raised = blocks.withColumn("_max", F.max("_top").over(Window.partitionBy(*keys)))
+    merged = raised.groupBy(*keys).agg(
+        (F.first("_max") + F.log(F.sum(F.col("_scaled") * F.exp(F.col("_top") - F.col("_max"))))).alias("_norm"),
+        F.sum("_sum").alias("_sum"),
+        F.max("_own").alias("_own"),
+    )
+    return merged.select(*keys, losses.smoothed_from_sums("_norm", "_sum", "_own", F.lit(size), smoothing).alias("loss"))
+
+
+def masked_token_loss(tokens: DataFrame, loss: str, mask: str, group: list[str] | None = None) -> DataFrame:
+    """Mean loss of the unmasked tokens and their number, in all or per group."""
+    unmasked = F.sum(col(mask))
+    return tokens.groupBy(*(group or [])).agg(F.try_divide(F.sum(F.col(loss) * F.col(mask)), unmasked).alias("loss"), unmasked.alias("num_labels"))
+
+
 def soft_target_cross_entropy(
     df: DataFrame, scores: str, targets: str, group: list[str] | None = None
 ) -> DataFrame:
@@ -192,15 +222,26 @@ def scheduled_rows(
 def head_rows(df: DataFrame, limits: dict[str, int], order: list[str], split: str = "split") -> DataFrame:
     """First ``min(n, limit)`` rows of each split that has a limit; every other split stays whole.
 
-    Rows of a split are numbered by range, so no head meets in one task.
+    One narrow pass over split and order key numbers all limited splits at once and finds the key at which each is
+    cut; the rows themselves are then filtered where they are, whatever the number of limits. Rows that repeat a key
+    are told apart by a hash of the whole row, and rows that are the same all through are counted out at the cut.
     """
-
-    def head(value: str, limit: int) -> DataFrame:
-        part = index.global_index(df.filter(F.col(split) == value), order, "_i")
-        return part.filter(F.col("_i") < limit).drop("_i")
-
+    limited = {name: limit for name, limit in limits.items() if limit > 0}
+    key = F.struct(*order, F.xxhash64(*df.columns).alias("_tie"))
+    keys = df.filter(F.col(split).isin(list(limited))).select(F.col(split).alias("_split"), key.alias("_key"))
+    placed = index.group_position(keys, "_split", "_key", "_i")
+    bound = reduce(lambda c, item: c.when(F.col("_split") == item[0], item[1]), limited.items(), F.when(F.lit(False), 0))
+    cut = placed.filter(F.col("_i") == bound - 1).select("_split", F.col("_key").alias("_cut"))
+    # Per split, where its cut is and how many of the rows just at the cut belong to the head: a row per limit.
+    ties = placed.join(F.broadcast(materialize(cut, "cuts")), "_split").filter(F.col("_key") == F.col("_cut"))
+    cuts = materialize(ties.groupBy("_split", "_cut").agg((F.first(bound) - F.min("_i")).alias("_need"), F.count("*").alias("_have")), "cuts")
     whole = df.filter(F.col(split).isNull() | ~F.col(split).isin(list(limits)))
-    return reduce(DataFrame.unionByName, [head(s, m) for s, m in limits.items()], whole)
+    marked = df.withColumn("_key", key).join(F.broadcast(cuts), F.col(split) == F.col("_split"), "left")
+    below = marked.filter(F.col(split).isin(list(limited)) & (F.col("_cut").isNull() | (F.col("_key") < F.col("_cut")) | ((F.col("_key") == F.col("_cut")) & (F.col("_need") == F.col("_have")))))
+    some = marked.filter((F.col("_key") == F.col("_cut")) & (F.col("_need") < F.col("_have")))
+    same = some.groupBy(*df.columns).agg(F.first("_need").alias("_need"))
+    repeated = same.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_need")))
+    return reduce(DataFrame.unionByName, [whole, below.select(*df.columns), repeated.select(*df.columns)])
 
 
 # -------------------------------------------------------------------- reports

@@ -118,6 +118,21 @@ def mean_of_batch_ratios(spark, sf_dir):
     return scored.select(F.round("loss", 6).alias("loss"))
 
 
+@query(
+    "block_token_loss",
+    f"""WITH {TOKEN_SQL} SELECT batch, round(sum(CASE WHEN label = 0 THEN 0 ELSE loss END) / count(*) FILTER (label <> 0), 6) AS loss,
+                                count(*) FILTER (label <> 0) AS num_labels FROM t GROUP BY batch""",
+)
+def block_token_loss(spark, sf_dir):
+    """The same losses from rows of 16 logits each."""
+    whole = b.table(spark, sf_dir, "embeddings").select("vec_id", "label", F.col("embedding").alias("logits"))
+    blocks = whole.select("vec_id", "label", F.explode(F.sequence(F.lit(0), F.size("logits") - 1, F.lit(16))).alias("first"), "logits")
+    blocks = blocks.select("vec_id", "label", "first", F.slice("logits", F.col("first") + 1, 16).alias("logits"))
+    tokens = metrics.block_cross_entropy(blocks, ["vec_id", "label"], "logits", "first", "label", 64, SMOOTHING)
+    marked = tokens.withColumns({"batch": F.expr("vec_id DIV 32"), "mask": F.when(F.col("label") == 0, 0).otherwise(1)})
+    return metrics.masked_token_loss(marked, "loss", "mask", ["batch"]).select("batch", F.round("loss", 6).alias("loss"), "num_labels")
+
+
 @query(
     "soft_target_ce",
     f"""WITH labels AS ({b.proportions_sql()}),

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from screenlake.functions import text as tx
 from screenlake.functions.rouge import rouge, rouge_means
-from screenlake.operators import corpus, encoding, metrics
+from screenlake.operators import corpus, encoding, metrics, sentences
 from screenlake.plans import bindings as b
 from screenlake.plans.metric_queries import token_scores
 from screenlake.plans.registry import query
+from screenlake.session import materialize
 
 # Longest encoded source and target, in tokens.
 SOURCE, TARGET = 3600, 500
@@ -55,6 +56,41 @@ def sentence_lines(spark, sf_dir):
     return _docs(spark, sf_dir, "text").withColumn("text", tx.sentence_lines("text"))
 
 
+ABBREVIATIONS_SQL = r"""
+    tokens AS (SELECT unnest(regexp_extract_all("text", '\S+')) AS token FROM documents),
+    typed AS (SELECT regexp_replace(lower(token), '^[^\p{L}\p{N}]+', '') AS bare, ends_with(token, '.') AS period FROM tokens),
+    counted AS (SELECT CASE WHEN ends_with(bare, '.') THEN bare[:-2] ELSE bare END AS word, count(*) FILTER (period) AS a,
+                       count(*) FILTER (NOT period) AS b FROM typed GROUP BY 1),
+    share AS (SELECT sum(a) / sum(a + b) AS p FROM counted),
+    scores AS (SELECT word, a AS with_period, b AS without_period, len(word) - len(replace(word, '.', '')) + 1 AS periods,
+                      len(replace(word, '.', '')) AS inner_length,
+                      -2 * (a * ln(p / 0.99::DOUBLE) + b * ln((1 - p) / (1 - 0.99::DOUBLE))) AS ratio
+               FROM counted, share WHERE a > 0 AND regexp_matches(word, '^\p{L}')),
+    scored AS (SELECT word, with_period, without_period,
+                      ratio * exp(-inner_length) * periods * power(inner_length::DOUBLE, -without_period) AS score FROM scores)"""
+
+
+@query("abbreviation_scores", f"WITH {ABBREVIATIONS_SQL} SELECT word, with_period, without_period, round(score, 6) + 0.0::DOUBLE AS score FROM scored")
+def abbreviation_scores(spark, sf_dir):
+    return sentences.abbreviation_scores(_docs(spark, sf_dir, "text")).withColumn("score", F.round("score", 6) + F.lit(0.0))
+
+
+@query(
+    "sentence_lines_learned",
+    rf"""WITH {ABBREVIATIONS_SQL},
+        known AS (SELECT list(word) AS words FROM scored WHERE score >= {sentences.THRESHOLD}),
+        cut AS (SELECT doc_id, regexp_extract_all("text", '(?s)(.*?[.!?]\s+|.+$)', 1) AS pieces FROM documents),
+        lasts AS (SELECT doc_id, list_transform(pieces, lambda p: {{'piece': p,
+                         'bare': regexp_replace(lower(string_split(rtrim(regexp_replace(p, '\s', ' ', 'g')), ' ')[-1]), '^[^\p{{L}}\p{{N}}]+', '')}}) AS l FROM cut)
+        SELECT doc_id, array_to_string(list_transform(l, lambda x: CASE WHEN ends_with(x.bare, '.') AND list_contains(words, x.bare[:-2])
+                   OR NOT regexp_matches(x.piece, '[.!?]\s+$') THEN x.piece ELSE regexp_replace(x.piece, '([.!?])\s+$', E'\\1\n') END), '') AS "text"
+        FROM lasts, known""",
+)
+def sentence_lines_learned(spark, sf_dir):
+    docs = _docs(spark, sf_dir, "text")
+    return sentences.sentence_lines(docs, sentences.learn_abbreviations(docs))
+
+
 @query(
     "token_counts",
     r"""SELECT doc_id, len(regexp_extract_all("text", '\S+')) AS token_count,
@@ -255,8 +291,9 @@ TURN_ROUGE_SQL = ROUGE_SQL.format(
 
 
 def _scored(spark, sf_dir, kinds, stem):
-    scores = rouge("prompt", "correct_answer", kinds, stem).alias("scores")
-    return b.turns(spark, sf_dir).select("conv_id", "turn", scores)
+    """Scores of the turns, found by a number that is written with them."""
+    turns = materialize(b.turns(spark, sf_dir).withColumn("row", F.monotonically_increasing_id()), "turns")
+    return turns.select("row", "conv_id", "turn").join(rouge(turns, "row", "prompt", "correct_answer", kinds, stem), "row")
 
 
 @query(
@@ -266,7 +303,7 @@ def _scored(spark, sf_dir, kinds, stem):
 )
 def rouge_rows(spark, sf_dir):
     scored = _scored(spark, sf_dir, ("rouge1", "rouge2"), False)
-    return scored.select("conv_id", "turn", *[F.round(F.col("scores")[k], 6).alias(k) for k in ("rouge1", "rouge2")])
+    return scored.select("conv_id", "turn", *[F.round(k, 6).alias(k) for k in ("rouge1", "rouge2")])
 
 
 @query(
@@ -276,7 +313,8 @@ def rouge_rows(spark, sf_dir):
 )
 def rouge_n(spark, sf_dir):
     kinds = ("rouge1", "rouge2")
-    return _scored(spark, sf_dir, kinds, False).agg(*rouge_means("scores", kinds))
+    turns = materialize(b.turns(spark, sf_dir).withColumn("row", F.monotonically_increasing_id()), "turns")
+    return rouge(turns, "row", "prompt", "correct_answer", kinds, False).agg(*rouge_means(kinds))
 
 
 LCS_SQL = rf"""
@@ -295,15 +333,15 @@ LCS_SQL = rf"""
 @query("rouge_lcs", LCS_SQL)
 def rouge_lcs(spark, sf_dir):
     scored = _scored(spark, sf_dir, ("rougeL",), False)
-    return scored.select("conv_id", "turn", F.round("scores.rougeL", 6).alias("rougeL"))
+    return scored.select("conv_id", "turn", F.round("rougeL", 6).alias("rougeL"))
 
 
 @query("rouge_l")
 def rouge_l(spark, sf_dir):
     kinds = ("rouge1", "rouge2", "rougeL", "rougeLsum")
-    lines = [tx.sentence_lines(tx.strip(c)) for c in ("prompt", "correct_answer")]
-    scored = b.turns(spark, sf_dir).select(rouge(*lines, kinds, stem=True).alias("scores"))
-    return scored.agg(*rouge_means("scores", kinds))
+    lines = {c: tx.sentence_lines(tx.strip(c)) for c in ("prompt", "correct_answer")}
+    turns = materialize(b.turns(spark, sf_dir).withColumns(lines).withColumn("row", F.monotonically_increasing_id()), "turns")
+    return rouge(turns, "row", "prompt", "correct_answer", kinds, stem=True).agg(*rouge_means(kinds))
 
 
 PAIR_ROUGE_SQL = ROUGE_SQL.format(
@@ -312,6 +350,15 @@ PAIR_ROUGE_SQL = ROUGE_SQL.format(
 )
 
 
+@query("evaluate_report")
+def evaluate_report(spark, sf_dir):
+    """All that the job reports: four stemmed scores, with sentences that know the corpus's abbreviations."""
+    pairs = b.pairs(spark, sf_dir)
+    abbreviations = sentences.learn_abbreviations(pairs, "prompt")
+    _, report = corpus.evaluate(pairs, b.first_sentence, token_scores(spark, sf_dir), abbreviations=abbreviations)
+    return report
+
+
 @query(
     "evaluate_predictions",
     rf"""WITH {PREDICTED_SQL}, {PAIR_ROUGE_SQL},
@@ -329,6 +376,7 @@ PAIR_ROUGE_SQL = ROUGE_SQL.format(
         UNION ALL SELECT 'test_loss', round(avg(loss), 4) FROM r""",
 )
 def evaluate_predictions(spark, sf_dir):
+    """The part of the report that SQL can state: ROUGE-1 and 2 of words as they are."""
     _, report = corpus.evaluate(
         b.pairs(spark, sf_dir), b.first_sentence, token_scores(spark, sf_dir), stem=False, scores=("rouge1", "rouge2")
     )

@@ -1,8 +1,10 @@
 import math
+import random
 
 import numpy as np
 import pytest
 
+from screenlake.functions import losses
 from screenlake.operators import metrics
 
 NAN = float("nan")
@@ -109,6 +111,49 @@ def test_heads_of_some_splits(spark, rows):
     assert got == [("a", 0), ("a", 2), ("a", 4)] + [("b", i) for i in range(1, 50, 2)]
 
 
+def test_heads_with_repeated_and_missing_keys(spark):
+    """Of rows that repeat a key or are the same all through, exactly the limit stays; limits of 0 and unlisted splits hold."""
+    data = [("a", 1, "x")] * 7 + [("a", 1, "y")] * 5 + [("a", None, "z")] * 2 + [("b", i, "w") for i in range(4)] + [("c", 1, "v"), (None, 1, "u")]
+    df = spark.createDataFrame(data, "split string, k int, v string").repartition(4)
+    for limit in (1, 2, 3, 6, 9, 13, 14, 15, 50):
+        got = metrics.head_rows(df, {"a": limit, "b": 2, "d": 5, "c": 0}, ["k"]).collect()
+        heads = sorted((r.k is not None, r.k or 0) for r in got if r.split == "a")
+        assert heads == sorted((k is not None, k or 0) for s, k, _ in data if s == "a")[:limit]
+        assert sorted(r.k for r in got if r.split == "b") == [0, 1] and [r.v for r in got if r.split is None] == ["u"]
+        assert not [r for r in got if r.split == "c"]
+
+
+def test_heads_read_the_table_a_fixed_number_of_times(spark, tmp_path):
+    spark.range(300).selectExpr("id", "concat('s', id % 9) AS split").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    scans = [
+        metrics.head_rows(df, {f"s{i}": 3 for i in range(n)}, ["id"])._jdf.queryExecution().optimizedPlan().toString().count("Relation")
+        for n in (1, 9)
+    ]
+    assert scans[0] == scans[1]
+
+
+@pytest.mark.parametrize("smoothing", [0.0, 0.2])
+def test_block_loss_equals_the_list_form(spark, smoothing):
+    rng = random.Random(3)
+    rows = [(i, [rng.uniform(-400, 400) for _ in range(11)], rng.randrange(11)) for i in range(40)]
+    whole = spark.createDataFrame(rows, "token long, logits array<double>, label int")
+    want = {r.token: r.loss for r in whole.select("token", losses.smoothed_cross_entropy("logits", "label", smoothing).alias("loss")).collect()}
+    for width in (1, 4, 11):
+        parts = [(i, x[s : s + width], s, y) for i, x, y in rows for s in range(0, 11, width)]
+        blocks = spark.createDataFrame(parts, "token long, logits array<double>, first int, label int").repartition(5)
+        got = {r.token: r.loss for r in metrics.block_cross_entropy(blocks, ["token"], "logits", "first", "label", 11, smoothing).collect()}
+        assert got == {k: pytest.approx(v) for k, v in want.items()}
+
+
+def test_block_loss_of_one_hot_batch_is_spread(spark):
+    """A batch with nearly all tokens: blocks meet by token, not by batch."""
+    blocks = spark.range(40_000).selectExpr("id DIV 4 AS token", "array(double(id % 4), 0.5D) AS logits", "int(id % 4) * 2 AS first", "3 AS label")
+    tokens = metrics.block_cross_entropy(blocks, ["token"], "logits", "first", "label", 8)
+    assert tokens.count() == 10_000 and tokens.select("loss").distinct().count() == 1
+    assert metrics.block_cross_entropy(blocks.filter("first <> 2"), ["token"], "logits", "first", "label", 8).filter("loss IS NOT NULL").count() == 0
+
+
 def schedule(spark, steps, total, warmup, rate):
     df = spark.createDataFrame([(s, total) for s in steps], "step long, total long")
     return [r[0] for r in df.select(metrics.warmup_decay("step", "total", warmup, rate)).collect()]
