@@ -199,6 +199,64 @@ def one_hot(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
     return df.join(placed, column, "left").select(*df.columns, F.coalesce(out, zeros).alias(out))
 
 
+# --------------------------------------------------------------------- sparse
+# A sparse row is a struct (size, indices, values): as long as what it holds, whatever its width.
+
+
+def sparse_row(size: Column, indices: Column, values: Column) -> Column:
+    return F.struct(size.cast("int").alias("size"), indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
+
+
+def one_hot_sparse(df: DataFrame, column: str, out: str = "onehot") -> DataFrame:
+    """One-hot over the sorted distinct values of ``column`` as a sparse row; empty for a missing value.
+
+    Values are numbered by range, so neither a row nor a task holds the list of categories.
+    """
+    placed = materialize(distinct_positions(df.filter(F.col(column).isNotNull()), column, "_at"), "levels")
+    hit = F.col("_at").isNotNull()
+    none = F.array().cast("array<int>")
+    row = sparse_row(F.lit(placed.count()), F.when(hit, F.array("_at")).otherwise(none), F.when(hit, F.array(F.lit(1.0))).otherwise(none))
+    return df.join(placed, column, "left").select(*df.columns, row.alias(out))
+
+
+def sparsify(
+    cells: DataFrame, matrix: DataFrame, width: int, cell: str = "cell_id", feature: str = "gene_idx", value: str = "value", out: str = "features"
+) -> DataFrame:
+    """One sparse row per cell; repeated entries add up, null values are 0, entries outside the width are dropped, zeros are not held."""
+    inside = matrix.filter(F.col(feature).between(0, width - 1))
+    unique = sum_entries(inside, cell, feature, value).filter(F.col(value) != 0)
+    entry = F.struct(F.col(feature).cast("int").alias("i"), F.col(value).cast("double").alias("v"))
+    rows = unique.groupBy(cell).agg(F.sort_array(F.collect_list(entry)).alias("_e"))
+    joined = cells.join(rows, cell, "left")
+    held = F.coalesce("_e", F.array().cast("array<struct<i: int, v: double>>"))
+    return joined.withColumn("_e", held).withColumn(out, sparse_row(F.lit(width), F.col("_e.i"), F.col("_e.v"))).drop("_e")
+
+
+def append_sparse(df: DataFrame, left: str, right: str, out: str) -> DataFrame:
+    """Two sparse rows side by side."""
+    a, b = F.col(left), F.col(right)
+    moved = F.transform(b["indices"], lambda i: i + a["size"])
+    return df.withColumn(out, sparse_row(a["size"] + b["size"], F.concat(a["indices"], moved), F.concat(a["values"], b["values"])))
+
+
+def stack_sparse(df: DataFrame, features: str, labels: list[str], out: str = "features") -> DataFrame:
+    """Label columns behind the sparse feature row; zero labels are not held."""
+    at = F.array(*[F.struct(F.lit(k).alias("i"), F.col(c).cast("double").alias("v")) for k, c in enumerate(labels)])
+    held = F.filter(at, lambda e: ~e["v"].eqNullSafe(F.lit(0.0)))
+    row = F.col(features)
+    moved = F.transform(held, lambda e: e["i"] + row["size"])
+    return df.withColumn(
+        out, sparse_row(row["size"] + len(labels), F.concat(row["indices"], moved), F.concat(row["values"], F.transform(held, lambda e: e["v"])))
+    )
+
+
+def dense_rows(df: DataFrame, sparse: str, width: int, out: str = "features") -> DataFrame:
+    """A narrow sparse row as the array that dense operators and models take."""
+    row = F.col(sparse)
+    entries = F.sort_array(F.zip_with(row["indices"], row["values"], lambda i, v: F.struct(i.alias("i"), v.alias("v"))))
+    return df.withColumn(out, dense_from_entries(entries, width))
+
+
 def append_array(df: DataFrame, features: str, extra: str) -> DataFrame:
     """One array column appended to another (lane one-hot behind the features)."""
     return df.withColumn(features, F.concat(features, extra))

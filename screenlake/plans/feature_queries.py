@@ -132,6 +132,22 @@ def stack_features_labels(spark, sf_dir):
     return stacked.select("cell_id", *features.as_columns(stacked, "features", [*LINE_NAMES, "y0", "y1", "y2"]))
 
 
+@query(
+    "onehot_sparse",
+    """WITH n AS (SELECT count(DISTINCT l_partkey)::INT AS size FROM lineitem)
+       SELECT l_orderkey, l_linenumber, size + 2 AS size,
+              list_filter([(dense_rank() OVER (ORDER BY l_partkey) - 1)::INT, CASE WHEN l_quantity <> 0 THEN size END, CASE WHEN l_tax <> 0 THEN size + 1 END],
+                          lambda x: x IS NOT NULL) AS indices,
+              list_filter([1.0::DOUBLE, nullif(l_quantity, 0), nullif(l_tax, 0)], lambda x: x IS NOT NULL) AS "values"
+       FROM lineitem, n""",
+)
+def onehot_sparse(spark, sf_dir):
+    """Every part a category, with two numbers of the line behind it: no row is as long as the part list."""
+    lines = b.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_tax")
+    rows = features.stack_sparse(features.one_hot_sparse(lines, "l_partkey"), "onehot", ["l_quantity", "l_tax"], "row")
+    return rows.select("l_orderkey", "l_linenumber", "row.*")
+
+
 @query(
     "onehot_lookup",
     """WITH levels AS (SELECT DISTINCT lang AS level FROM documents)

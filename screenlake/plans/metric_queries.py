@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from screenlake.functions.arrays import log_softmax, total
 from screenlake.functions.losses import sigmoid_class
-from screenlake.operators import features, index, metrics
+from screenlake.operators import features, index, metrics, models
 from screenlake.plans import bindings as b
 from screenlake.plans.registry import query
 from screenlake.session import scratch_path
@@ -118,6 +118,24 @@ def mean_of_batch_ratios(spark, sf_dir):
     return scored.select(F.round("loss", 6).alias("loss"))
 
 
+@query(
+    "label_mean",
+    """SELECT round((avg(o_totalprice) + avg(o_custkey)) / 2, 4) AS mean FROM orders""",
+)
+def label_mean(spark, sf_dir):
+    """Mean over all rows and outputs, where boosting over several outputs starts."""
+    orders = b.table(spark, sf_dir, "orders").select("o_totalprice", "o_custkey")
+    return spark.createDataFrame([(models.global_mean(orders, orders.columns),)], "mean double").select(F.round("mean", 4).alias("mean"))
+
+
+@query(
+    "skip_first",
+    """SELECT event_id, user_id FROM (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events) WHERE i > 1""",
+)
+def skip_first(spark, sf_dir):
+    return metrics.skip_first(b.table(spark, sf_dir, "events").select("event_id", "user_id"), "event_id", ["user_id"])
+
+
 @query(
     "block_token_loss",
     f"""WITH {TOKEN_SQL} SELECT batch, round(sum(CASE WHEN label = 0 THEN 0 ELSE loss END) / count(*) FILTER (label <> 0), 6) AS loss,

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from screenlake.operators import features
 from screenlake.plans import bindings as b
 from screenlake.plans.registry import query
-from screenlake.session import scratch_path
+from screenlake.session import reuse_or_build, scratch_path
 from screenlake.sources import files
-from screenlake.sources.matrix import CellMatrix
+from screenlake.sources.matrix import CellMatrix, coordinate_header, read_coordinates, write_coordinates
 
 TALK_SCHEMA = "conv_id BIGINT, turn BIGINT, text STRING"
 
@@ -110,6 +110,59 @@ def matrix_scan(spark, sf_dir):
     return CellMatrix(cells, genes, features.sum_entries(b.part_matrix(spark, sf_dir))).scan()
 
 
+@query(
+    "matrix_shape",
+    """SELECT (SELECT count(*) FROM orders) AS cells, (SELECT count(*) FROM part) AS genes""",
+)
+def matrix_shape(spark, sf_dir):
+    genes = b.table(spark, sf_dir, "part").selectExpr("p_partkey AS gene_idx", "p_name AS gene")
+    cells, genes = CellMatrix(b.order_cells(spark, sf_dir), genes, b.part_matrix(spark, sf_dir)).shape()
+    return spark.createDataFrame([(cells, genes)], "cells long, genes long")
+
+
+@query(
+    "coordinate_scan",
+    """WITH n AS (SELECT max(o_orderkey) // 2 AS half FROM orders), m AS (
+           SELECT l_orderkey AS cell_idx, l_partkey AS gene_idx, sum(l_quantity) AS value FROM lineitem GROUP BY ALL)
+       SELECT cell_idx, gene_idx, value, (SELECT count(*) FROM m) AS entries FROM m, n WHERE cell_idx BETWEEN 10 AND half""",
+)
+def coordinate_scan(spark, sf_dir):
+    """The quantities of lines as one coordinate text, of which half the rows are read."""
+    entries = features.sum_entries(b.part_matrix(spark, sf_dir), "cell_id", "gene_idx", "value").withColumnRenamed("cell_id", "cell_idx")
+    highest = b.table(spark, sf_dir, "orders").agg(F.max("o_orderkey")).first()[0]
+    path = scratch_path(spark, "coordinates")
+    write_coordinates(entries, path, highest + 1, b.table(spark, sf_dir, "part").agg(F.max("p_partkey")).first()[0] + 1)
+    known = coordinate_header(spark, path)
+    return read_coordinates(spark, path, rows=(10, highest // 2)).withColumn("entries", F.lit(known.entries).cast("long"))
+
+
+@query(
+    "result_files",
+    """SELECT conv_id, turn, role, "text" FROM conversations""",
+)
+def result_files(spark, sf_dir):
+    """Results written as CSV under the name that says epoch and hits, and read back by that name."""
+    talk = b.table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    right = talk.filter("role = 'assistant'").count()
+    name = files.results_name("in/test.csv", scratch_path(spark, "results"), 3, right)
+    files.write_csv(talk, name)
+    found = files.read_csv(spark, name, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    return found.withColumn("text", F.coalesce("text", F.lit("")))
+
+
+@query(
+    "prepared_table",
+    """SELECT lang, count(*) AS n FROM documents GROUP BY lang""",
+)
+def prepared_table(spark, sf_dir):
+    """A prepared table that follows its source: built once for these files and arguments, then read."""
+    source, folder = f"{sf_dir}/documents.parquet", scratch_path(spark, "prepared")
+    build = lambda: b.table(spark, sf_dir, "documents").groupBy("lang").agg(F.count("*").alias("n"))
+    for _ in range(2):
+        kept = reuse_or_build(spark, folder, "languages", {"by": "lang"}, build, sources=[source])
+    return kept
+
+
 @query(
     "export_matrix",
     """SELECT l_quantity AS x0, l_extendedprice AS x1, CASE WHEN l_discount = 0 THEN 'nan'::DOUBLE ELSE l_discount END

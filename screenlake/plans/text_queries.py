@@ -13,7 +13,8 @@ from screenlake.operators import corpus, encoding, metrics, sentences
 from screenlake.plans import bindings as b
 from screenlake.plans.metric_queries import token_scores
 from screenlake.plans.registry import query
-from screenlake.session import materialize
+from screenlake.session import materialize, scratch_path
+from screenlake.sources import files
 
 # Longest encoded source and target, in tokens.
 SOURCE, TARGET = 3600, 500
@@ -29,6 +30,36 @@ def resolve_columns(spark, sf_dir):
     return corpus.resolve_columns(talk, text_column="text")
 
 
+@query("dataset_columns", """SELECT "text", role AS summary FROM conversations""")
+def dataset_columns(spark, sf_dir):
+    """Columns by the name of a known data set."""
+    talk = b.table(spark, sf_dir, "conversations").select("conv_id", F.col("text").alias("dialogue"), F.col("role").alias("summary"))
+    return corpus.resolve_columns(talk, dataset="samsum")
+
+
+@query(
+    "text_form",
+    """SELECT d.doc_id, coalesce(l.quality::VARCHAR, 'nan') AS quality FROM documents d LEFT JOIN labels l USING (doc_id)""",
+)
+def text_form(spark, sf_dir):
+    joined = _docs(spark, sf_dir).join(b.table(spark, sf_dir, "labels"), "doc_id", "left")
+    return joined.select("doc_id", tx.as_text("quality").alias("quality"))
+
+
+@query(
+    "batched_map",
+    """SELECT doc_id, len("text") AS n_chars, upper(lang) AS lang FROM documents""",
+)
+def batched_map(spark, sf_dir):
+    """A user's function over batches of rows."""
+
+    def measured(frames):
+        for frame in frames:
+            yield frame.assign(n_chars=frame["text"].str.len(), lang=frame["lang"].str.upper())[["doc_id", "n_chars", "lang"]]
+
+    return corpus.map_batches(_docs(spark, sf_dir, "text", "lang"), measured, "doc_id long, n_chars long, lang string")
+
+
 @query("prefix_text", """SELECT doc_id, 'summarize: ' || "text" AS "text" FROM documents""")
 def prefix_text(spark, sf_dir):
     return corpus.prefix_text(_docs(spark, sf_dir, "text"), "text", "summarize: ")
@@ -350,6 +381,24 @@ PAIR_ROUGE_SQL = ROUGE_SQL.format(
 )
 
 
+@query(
+    "evaluate_file",
+    rf"""WITH {PREDICTED_SQL}, stripped AS (SELECT trim(predictions, E' \t\n\x0B\f\r') AS p, trim(correct_answer, E' \t\n\x0B\f\r') AS y FROM predicted),
+        {PAIR_ROUGE_SQL}
+        SELECT 'test_num_correct' AS metric, count(*) FILTER (p = y)::DOUBLE AS value FROM stripped
+        UNION ALL SELECT 'test_num_total', count(*)::DOUBLE FROM stripped
+        UNION ALL SELECT 'test_accuracy', round(count(*) FILTER (p = y) / count(*), 4) FROM stripped
+        UNION ALL SELECT 'test_gen_len', round(avg(len(regexp_extract_all(p, '\S+'))), 4) FROM stripped
+        UNION ALL SELECT 'test_rouge1', round(avg(rouge1) * 100, 4) FROM scored""",
+)
+def evaluate_file(spark, sf_dir):
+    """Text pairs written as CSV by their columns, then evaluated from that file."""
+    path = scratch_path(spark, "pairs") + ".csv"
+    files.write_csv(b.pairs(spark, sf_dir), path)
+    _, report = corpus.evaluate_file(spark, path, b.first_sentence, stem=False, scores=("rouge1",))
+    return report
+
+
 @query("evaluate_report")
 def evaluate_report(spark, sf_dir):
     """All that the job reports: four stemmed scores, with sentences that know the corpus's abbreviations."""
