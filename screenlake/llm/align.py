@@ -20,7 +20,6 @@ import hashlib
 import json
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,35 +31,8 @@ from pyspark.sql import functions as F
 from screenlake.llm.bpe import Gather, byte_letters
 from screenlake.llm.chunks import from_bytes, to_bytes
 from screenlake.llm.common import written
-from screenlake.llm.search import entries
-from screenlake.llm.terms import binary_array, row_slices, text_bytes
-
-SPACE, FEED = 0x20, 0x0A
-_BYTES = np.arange(256)
-VISIBLE = (_BYTES > 0x20) & (_BYTES < 0x7F)
-#: First bytes of the characters beyond ASCII that can be white space (U+0085, U+00A0, U+1680, U+2000 on, U+3000).
-LEADS_2 = _BYTES == 0xC2
-LEADS_3 = (_BYTES >= 0xE1) & (_BYTES <= 0xE3)
-
-
-def unit_starts(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Places where units start, in ascending order; ``starts`` are the (distinct) places where texts start."""
-    if not len(data):
-        return np.zeros(0, np.int64)
-    before = np.zeros(len(data), bool)  # the character before is surely no white space
-    before[1:] = VISIBLE[data[:-1]] | (data[:-1] >= 0x80)
-    before[2:] &= ~((data[1:-1] >= 0x80) & LEADS_2[data[:-2]])
-    before[3:] &= ~((data[2:-1] >= 0x80) & LEADS_3[data[:-3]])
-    after = np.zeros(len(data), bool)  # so is the character that follows
-    after[:-1] = VISIBLE[data[1:]] | ((data[1:] >= 0x80) & ~LEADS_2[data[1:]] & ~LEADS_3[data[1:]])
-    cut = before & (data == SPACE)
-    feeds = before & after & (data == FEED)
-    feeds[starts[1:] - 1] = False  # the last byte of a text
-    cut |= feeds
-    cut[1:] |= feeds[:-1]
-    cut[starts] = True
-    return np.flatnonzero(cut)
-
+from screenlake.llm.terms import binary_array, entries, row_slices, text_bytes
+from screenlake.llm.tokens import SPACE, flat_ids, unit_starts
 
 class Tokenizers:
     """Both tokenizers: ids of units, and the bytes of ids."""
@@ -105,11 +77,6 @@ def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     return Tokenizers(path_a, path_b)
 
 
-def flat_ids(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    counts = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum())), counts
-
-
 def labels(ends_a: np.ndarray, ends_b: np.ndarray) -> np.ndarray:
     """For all A tokens, then all B tokens: the B token that ends the token's component. Both lists of ends close at the same place."""
     size = len(ends_a)

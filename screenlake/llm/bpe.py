@@ -12,19 +12,20 @@ and words are cut before they are indexed.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from screenlake.llm.common import text_slices
-from screenlake.llm.tokens import SIMPLE, UNPRINTABLE, CachedEncoder
+from screenlake.llm.terms import row_slices, text_bytes
+from screenlake.llm.tokens import UNPRINTABLE, UnitEncoder, encoded, flat_ids
 
 #: Pre-token rule of byte-level tokenizers (fixed values).
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -112,33 +113,30 @@ def encode_index(words: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
 
 
 @lru_cache(maxsize=1)
-def index_encoder(path: str) -> CachedEncoder:
-    """Cached encoder whose new words go through the pair occurrence index together."""
-    vocabulary = Vocabulary(path)
-    known: dict[str, bytes] = {}
-
-    def cut(word: str) -> list[str]:
-        simple = SIMPLE(word)
-        if simple:
-            space, stem, marks = simple.groups()
-            return [space + stem, marks] if marks else [space + stem]
-        if not any(token in word for token in vocabulary.special):
-            return PRETOKEN.findall(word)
-        parts = vocabulary.special_rule.split(word)
-        return [token for part in parts for token in ([part] if part in vocabulary.special else PRETOKEN.findall(part))]
-
-    def encode_words(words: list[str]) -> list[bytes]:
-        tokens = [cut(word) for word in words]
-        fresh = list({token for each in tokens for token in each}.difference(known))
-        if len(known) + len(fresh) > 200_000:
-            known.clear()
-            fresh = list({token for each in tokens for token in each})
-        special = vocabulary.special
+def vocabulary_of(path: str) -> Vocabulary:
+    return Vocabulary(path)
+
+
+@lru_cache(maxsize=1)
+def index_encoder(path: str) -> UnitEncoder:
+    """Encoder whose new units are cut into pre-tokens, of which the distinct ones share one pair occurrence index."""
+    vocabulary = vocabulary_of(path)
+    special = vocabulary.special
+
+    def cut(unit: str) -> list[str]:
+        if not any(token in unit for token in special):
+            return PRETOKEN.findall(unit)
+        parts = vocabulary.special_rule.split(unit)
+        return [token for part in parts for token in ([part] if part in special else PRETOKEN.findall(part))]
+
+    def encode_units(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        tokens = [cut(unit) for unit in units.cast(pa.string()).to_pylist()]
+        fresh = list(dict.fromkeys(chain.from_iterable(tokens)))
         found = encode_index([b"" if t in special else t.encode() for t in fresh], vocabulary)
-        known.update((t, array("I", [special[t]] if t in special else ids).tobytes()) for t, ids in zip(fresh, found))
-        return [b"".join([known[token] for token in each]) for each in tokens]
+        known = {t: [special[t]] if t in special else ids for t, ids in zip(fresh, found)}
+        return flat_ids([known[each[0]] if len(each) == 1 else list(chain.from_iterable(map(known.__getitem__, each))) for each in tokens], np.uint32)
 
-    return CachedEncoder(encode_words)
+    return UnitEncoder(encode_units, tuple(special))
 
 
 class Gather:
@@ -158,56 +156,103 @@ class Gather:
         return self.bytes[places].tobytes()
 
 
+@lru_cache(maxsize=1)
+def speller(path: str) -> Gather:
+    """Bytes of ids."""
+    return Gather(vocabulary_of(path).token_bytes)
+
+
+@lru_cache(maxsize=1)
+def decimals(size: int) -> Gather:
+    """Decimal ids with a comma behind each."""
+    return Gather([b"%d," % i for i in range(size)])
+
+
+def spelled_texts(ids: np.ndarray, offsets: np.ndarray, spell: Gather) -> list[str]:
+    """Text of each run of ids; bytes that are no UTF-8 become U+FFFD."""
+    data = spell(ids)
+    ends = np.concatenate([[0], np.cumsum(spell.lengths[ids])])[offsets].tolist()
+    return [data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+
+
+def digests(ids: np.ndarray, offsets: np.ndarray, texts: list[str], decimal: Gather) -> tuple[list[str], list[str]]:
+    """SHA-256 of the decimal ids of each run, joined by commas, and of each text."""
+    data = decimal(ids)
+    ends = np.concatenate([[0], np.cumsum(decimal.lengths[ids])])[offsets].tolist()
+    of_ids = [hashlib.sha256(data[a : max(a, b - 1)]).hexdigest() for a, b in zip(ends, ends[1:])]
+    return of_ids, [hashlib.sha256(text.encode()).hexdigest() for text in texts]
+
+
 def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids): ``ids`` are little-endian uint32 bytes of the whole text; one row per row of ``docs``."""
+    """(key, ids): ``ids`` are little-endian uint32 bytes of the whole text; one row per row of ``docs``.
+
+    A null text has no ids; rows that repeat are encoded each; an empty table gives no rows.
+    """
     frame = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = index_encoder(path)
-        for batch in batches:
-            for start, texts in text_slices(batch, "text"):
-                keys = batch.column(0).slice(start, len(texts))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(encoder.encode(texts), pa.binary())], ["key", "ids"])
+        for part, ids in encoded(batches, "text", index_encoder(path)):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["key", "ids"])
 
     return frame.mapInArrow(run, f"key {frame.schema['key'].dataType.simpleString()}, ids binary").withColumnRenamed("key", key)
 
 
+def flat_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, offsets) of little-endian uint32 bytes; null has none."""
+    data, borders = text_bytes(column.fill_null(b""))
+    return np.frombuffer(data.tobytes(), "<u4"), borders // 4
+
+
 def decode(encoded: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
-    """(key, ids, text): bytes of the tokens joined; bytes that are no UTF-8 become U+FFFD. Null ids count as none."""
+    """(key, ids, text): bytes of the tokens joined; bytes that are no UTF-8 become U+FFFD.
+
+    Null ids count as none; rows that repeat are decoded each; an empty table gives no rows.
+    """
     frame = encoded.select(encoded[key].alias("key"), encoded["ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gather = Gather(Vocabulary(path).token_bytes)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 256):
-                part = batch.slice(start, 256)
-                ids = part.column(1)
-                texts = [gather(np.frombuffer(x.as_py() or b"", "<u4")).decode("utf-8", "replace") for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), ids, pa.array(texts, pa.string())], ["key", "ids", "text"])
+        for part in row_slices(batches, "ids"):
+            texts = spelled_texts(*flat_binary(part.column(1)), speller(path))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], ["key", "ids", "text"])
 
     kind = frame.schema["key"].dataType.simpleString()
     return frame.mapInArrow(run, f"key {kind}, ids binary, text string").withColumnRenamed("key", key)
 
 
+DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
 def id_digests(decoded: DataFrame, vocabulary_size: int, key: str = "doc_id") -> DataFrame:
     """(key, n_tokens, ids_sha256, decoded_sha256) of decoded rows; ids are hashed as decimals joined by commas."""
     frame = decoded.select(decoded[key].alias("key"), "ids", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import hashlib
-
-        decimal = Gather([b"%d," % i for i in range(vocabulary_size)])
-        for batch in batches:
-            counts, of_ids, of_text = [], [], []
-            for ids, text in zip(batch.column(1), batch.column(2)):
-                numbers = np.frombuffer(ids.as_py(), "<u4")
-                counts.append(len(numbers))
-                of_ids.append(hashlib.sha256(decimal(numbers)[:-1]).hexdigest())
-                of_text.append(hashlib.sha256(text.as_py().encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())],
-                ["key", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        for part in row_slices(batches, "ids"):
+            ids, offsets = flat_binary(part.column(1))
+            columns = digests(ids, offsets, part.column(2).to_pylist(), decimals(vocabulary_size))
+            yield _digest_batch(part.column(0), offsets, columns)
 
-    kind = frame.schema["key"].dataType.simpleString()
-    return frame.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    return frame.mapInArrow(run, f"key {frame.schema['key'].dataType.simpleString()}, {DIGESTS}").withColumnRenamed("key", key)
+
+
+def _digest_batch(keys: pa.Array, offsets: np.ndarray, columns: tuple[list[str], list[str]]) -> pa.RecordBatch:
+    arrays = [keys, pa.array(np.diff(offsets), pa.int64()), *(pa.array(c, pa.string()) for c in columns)]
+    return pa.RecordBatch.from_arrays(arrays, ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def round_trip_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``id_digests`` of ``decode`` of ``encode`` in one pass: a slice is encoded, decoded and hashed by the same worker.
+
+    Null and empty texts have no ids; rows that repeat have a row each; null keys stay null; an empty table gives no rows.
+    """
+    frame = docs.select(docs[key].alias("key"), docs[text].cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, spell = index_encoder(path), speller(path)
+        decimal = decimals(len(spell.lengths))
+        for part in row_slices(batches, "text", 6_000_000):
+            ids, offsets = encoder.flat(part.column(1))
+            texts = spelled_texts(ids, offsets, spell)
+            yield _digest_batch(part.column(0), offsets, digests(ids, offsets, texts, decimal))
+
+    return frame.mapInArrow(run, f"key {frame.schema['key'].dataType.simpleString()}, {DIGESTS}").withColumnRenamed("key", key)

@@ -161,9 +161,7 @@ def op9_rans_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_pair_index_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = default_tokenizer()
-    encoded = bpe.encode(table(spark, folder, "documents"), path)
-    return bpe.id_digests(bpe.decode(encoded, path), VOCABULARY)
+    return bpe.round_trip_digests(table(spark, folder, "documents"), default_tokenizer())
 
 
 def op11_suffix_automaton_licences(spark: SparkSession, folder: str) -> DataFrame:

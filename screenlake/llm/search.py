@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import written
-from screenlake.llm.terms import coded_words, row_slices
+from screenlake.llm.terms import coded_words, entries, row_slices
 
 LEAF = 32
 SUBSPACES = 4096
@@ -173,13 +173,6 @@ class BallTree:
         return places[kept], weights[kept]
 
 
-def entries(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the entries of several runs, in order, and the number of the run of each."""
-    owners = np.repeat(np.arange(len(sizes)), sizes)
-    shift = starts - (np.cumsum(sizes) - sizes)
-    return np.arange(len(owners)) + shift[owners], owners
-
-
 class Best:
     """The k best (score, key) so far; equal scores by ascending key, null keys last."""
 
