@@ -152,15 +152,18 @@ def fit(positives: DataFrame, unlabelled: DataFrame, rounds: int = 8, ridge: flo
                 break
         return model
 
-    first = newton(0.5, rounds, False)  # for a prior of one half the sigmoid is half the density ratio
-    ratio = summed(positives, lambda x: np.array([len(x), _ratio(first, x).sum()]))
-    prior = float(np.clip(ratio[0] / max(ratio[1], 1e-9), 0.05, 0.98))
+    for share in (0.5, 0.05):  # for a prior of ``share`` the sigmoid is that share of the density ratio, so no lower prior can be seen
+        first = newton(share, rounds, False)
+        ratio = summed(positives, lambda x: np.array([len(x), _ratio(first, x, share).sum()]))  # noqa: B023
+        prior = float(np.clip(ratio[0] / max(ratio[1], 1e-9), 0.05, 0.98))
+        if prior > 1.1 * share:
+            break
     return newton(prior, rounds, True), prior
 
 
-def _ratio(model: Model, x: np.ndarray) -> np.ndarray:
-    """Density of positives over that of unlabelled rows, by the model for a prior of one half."""
-    return 2 / (1 + np.exp(-model.logit(x)))
+def _ratio(model: Model, x: np.ndarray, share: float) -> np.ndarray:
+    """Density of positives over that of unlabelled rows, by the model for a prior of ``share``."""
+    return 1 / (share * (1 + np.exp(-model.logit(x))))
 
 
 def quality_scores(
