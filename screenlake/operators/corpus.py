@@ -197,9 +197,10 @@ def augment(
 ) -> DataFrame:
     """Adds tasks, writes them when asked, drops long rows, and orders the rest by seed (``position``).
 
-    The grown table is written once, with its counts and a row number. The
-    limits and the order work on the narrow columns, and each kept row's text
-    joins them by that number, so repeated and missing keys do no harm.
+    Rows beyond a limit go before anything is written. What is kept is written
+    once, with its counts and a row number. The order works on the narrow
+    columns, and each row's text joins it by that number, so repeated and
+    missing keys do no harm.
     """
     grown = add_tasks(df, predictor, correctness_ratio, fix_ratio, classification, key, seed, name)
     if write_to and AUGMENTED_MARK not in name and (correctness_ratio or fix_ratio or classification):
@@ -207,8 +208,8 @@ def augment(
     row = [key, "task"]
     if not filter_tokens:
         return index.permute(grown, row, seed) if shuffle else grown
-    numbered = materialize(count_tokens(grown).withColumn("_row", F.monotonically_increasing_id()), "grown")
-    kept = limit_tokens(numbered, max_input, max_output)
+    limited = limit_tokens(count_tokens(grown), max_input, max_output)
+    kept = materialize(limited.withColumn("_row", F.monotonically_increasing_id()), "grown")
     if not shuffle:
         return kept.drop("_row")
     order = index.permute(kept.select("_row", *row), row, seed).select("_row", "position")
