@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +55,36 @@ def text_slices(batch: pa.RecordBatch, column: str, chars: int = 1_000_000) -> I
         yield start, held
 
 
+def bloom_filter(keys: DataFrame, columns: list[str], most_bytes: int = 16_000_000, bits: int = 12, probes: int = 6) -> Callable[..., F.Column] | None:
+    """``test(*columns)``: false only for rows that are not in ``keys``; None if the filter would be above ``most_bytes``.
+
+    The filter is built where the keys are, as 64-bit words that are combined before they are shuffled, and has
+    ``bits`` bits per key, so its size is known before it is built. Null is a key like any other.
+    """
+    spark, count = keys.sparkSession, keys.count()
+    words = -(-max(count, 1) * bits // 64)
+    if 8 * words > most_bytes:
+        return None
+
+    def places(*given: F.Column) -> list[F.Column]:
+        one, two = (F.xxhash64(*given, F.lit(seed)) for seed in (1, 2))
+        return [F.pmod(F.shiftright(one, 1) + F.lit(i) * F.shiftright(two, 4), F.lit(64 * words)) for i in range(probes)]
+
+    spots = keys.select(F.explode(F.array(*places(*[F.col(c) for c in columns]))).alias("at"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))
+    found = spots.groupBy((F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    held = np.zeros(words, np.int64)
+    held[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    table = spark.createDataFrame(pa.table({"words": pa.ListArray.from_arrays(pa.array([0, words], pa.int32()), pa.array(held))}))
+
+    def test(*given: F.Column) -> F.Column:
+        array = table.select("words").scalar()
+        hits = [F.bit_get(F.get(array, (at / 64).cast("int")), (at % 64).cast("int")) == 1 for at in places(*given)]
+        return reduce(lambda a, b: a & b, hits)
+
+    return test
+
+
 def sha256_hex(column) -> F.Column:
     return F.sha2(column, 256)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.llm.chunks import hashed_words, split_words
-from screenlake.llm.common import mix64, rolled, written
+from screenlake.llm.common import bloom_filter, mix64, rolled, written
 from screenlake.llm.links import Forest, block_tasks, components, per_task
 
 PLACES = 32  # of a tree
@@ -98,7 +98,12 @@ def slices(batch: pa.RecordBatch, column: int, chars: int = 2_000_000) -> Iterat
 
 
 def signatures(frame: DataFrame, width: int, places: int) -> DataFrame:
-    """(key, tie, n_shingles, one, two, signature) of (key, text, tie) rows."""
+    """(key, tie, n_shingles, one, two, signature, roots) of (key, text, tie) rows.
+
+    A place keeps 16 bits of its least value: different values agree by chance once in 65,536, which can only bring
+    more pairs together. The two places of each tree where all sets start from keep 32 bits (``roots``).
+    """
+    first = [t * PLACES + p for t in range(places // PLACES) for p in range(2)]
     each = seeds(places)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,11 +118,14 @@ def signatures(frame: DataFrame, width: int, places: int) -> DataFrame:
                     for place, seed in enumerate(each):
                         values = ((shingles ^ seed) * (seed | np.uint64(1))) >> np.uint64(32)
                         least[full, place] = np.minimum.reduceat(values, starts[full])
-                signature = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * places), pa.array(least.view(np.int32).ravel()))
-                columns = [part.column(0), part.column(2), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), signature]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "tie", "n_shingles", "one", "two", "signature"])
+                lists = [
+                    pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * values.shape[1]), pa.array(np.ascontiguousarray(values).ravel()))
+                    for values in (least.astype(np.uint16).view(np.int16), least[:, first].view(np.int32))
+                ]
+                columns = [part.column(0), part.column(2), pa.array(sizes.astype(np.int64)), pa.array(one), pa.array(two), *lists]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "tie", "n_shingles", "one", "two", "signature", "roots"])
 
-    return frame.mapInArrow(run, "key long, tie long, n_shingles long, one long, two long, signature array<int>")
+    return frame.mapInArrow(run, "key long, tie long, n_shingles long, one long, two long, signature array<smallint>, roots array<int>")
 
 
 def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, similarity: float, missed: float, pivots: int = 4) -> DataFrame:
@@ -132,8 +140,7 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, si
     half = places // 2
     close = places + half - least_agreeing(places, similarity, missed)  # a partner differs from a settled one at the other places at most
     child = lambda place: F.xxhash64(F.col("node"), place, F.get(F.col("signature"), place))
-    roots = [t * PLACES + p for t in range(trees) for p in range(2)]
-    starts = F.array(*[F.struct(F.lit(p // PLACES).alias("tree"), F.xxhash64(F.lit(p), F.get(F.col("signature"), F.lit(p))).alias("node")) for p in roots])
+    starts = F.array(*[F.struct(F.lit(i // 2).alias("tree"), F.xxhash64(F.lit(i), F.get(F.col("roots"), F.lit(i))).alias("node")) for i in range(2 * trees)])
     level = sets.select("cid", F.explode(starts).alias("at")).select("cid", "at.tree", "at.node")
     leaves, found = [], []
     for step in range(depth + 1):
@@ -143,7 +150,10 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, si
         leaves.append(met if step == depth else met.where(F.col("n") <= node_limit))
         if step == depth or counts.where(F.col("n") > node_limit).isEmpty():
             break
-        large = written(met.where(F.col("n") > node_limit).join(sets, "cid"), "large")
+        huge = written(met.where(F.col("n") > node_limit), "huge")
+        asked = bloom_filter(huge.select("cid"), ["cid"])  # signatures that are surely not asked for are not shuffled
+        signed = sets.select("cid", "signature")
+        large = written(huge.join(signed if asked is None else signed.where(asked(F.col("cid"))), "cid"), "large")
         part = F.pmod(F.xxhash64("cid", "node"), F.lit(pivots))
         chosen = large.groupBy("node").agg(
             *[F.min(F.when(part == j, F.struct(F.xxhash64("cid").alias("h"), "cid", "signature"))).alias(f"pivot{j}") for j in range(pivots)]
@@ -161,7 +171,7 @@ def candidate_edges(sets: DataFrame, trees: int, node_limit: int, depth: int, si
     for leaf in leaves[1:]:
         met = met.unionByName(leaf)
     tasks = block_tasks(met.withColumn("blocks", F.ceil(F.col("n") / node_limit)), "node", "cid", "blocks").select("task", "cid")
-    tasks = tasks.join(sets, "cid").select("task", "cid", F.slice("signature", 1, PLACES).alias("signature"))
+    tasks = tasks.join(sets.select("cid", F.slice("signature", 1, PLACES).alias("signature")), "cid")
 
     def compare(table: pa.Table) -> pa.RecordBatch | None:
         cids = table.column("cid").to_numpy()
@@ -235,9 +245,9 @@ def near_duplicates(
     frame = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     frame = frame.withColumn("tie", F.xxhash64(F.coalesce("text", F.lit(""))))
     signed = written(signatures(frame, width, PLACES * trees), "signatures")
-    classes = signed.where("n_shingles > 0").groupBy("one", "two").agg(F.min(_place()).alias("place"), F.min("signature").alias("signature"), F.first("n_shingles").alias("n"))
+    classes = signed.where("n_shingles > 0").groupBy("one", "two").agg(F.min(_place()).alias("place"), F.min("signature").alias("signature"), F.min("roots").alias("roots"), F.first("n_shingles").alias("n"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    groups = written(components(candidate_edges(classes.select("cid", "signature"), trees, node_limit, depth, similarity, missed / 4)), "groups")
+    groups = written(components(candidate_edges(classes.select("cid", "signature", "roots"), trees, node_limit, depth, similarity, missed / 4)), "groups")
     members = classes.join(groups.withColumnRenamed("id", "cid"), "cid").select("cid", "one", "two", F.col("place.key").alias("key"), "n", "component")
     members = written(members, "members")
     sizes = members.groupBy("component").agg(F.ceil(F.sum("n") / shingles_per_block).alias("blocks"))
@@ -254,8 +264,11 @@ def near_duplicates(
                 picked = [column(name).take(pa.array(same)) for name in ("cid", "component", "blocks")]
                 yield pa.RecordBatch.from_arrays([*picked, pa.array(data, pa.binary())], ["cid", "component", "blocks", "tokens"])
 
-    # shuffled at every size: what is wanted grows with the corpus
-    rows = frame.hint("merge").join(wanted, frame["key"].eqNullSafe(wanted["key"])).select("text", "cid", "one", "two", "component", "blocks")
+    # texts that are surely not wanted stay where they are; the others are shuffled, whatever their number
+    wanted = written(wanted, "wanted")
+    asked = bloom_filter(wanted.select("key"), ["key"])
+    texts = frame if asked is None else frame.where(asked(F.col("key")))
+    rows = texts.hint("merge").join(wanted, texts["key"].eqNullSafe(wanted["key"])).select("text", "cid", "one", "two", "component", "blocks")
     sets = rows.mapInArrow(full_sets, "cid long, component long, blocks long, tokens binary")
     tasks = block_tasks(sets, "component", "cid", "blocks").select("task", "cid", "tokens")
 
