@@ -15,6 +15,7 @@ import json
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -149,14 +150,20 @@ def read_block(coder: Coder, head: tuple, payload: memoryview) -> tuple[list, np
     return keys, np.asarray(lengths, np.int64), np.concatenate(parts) if parts else np.zeros(0, np.uint32)
 
 
+@lru_cache(maxsize=1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """One pair of contexts per worker: they cost more than what most rows hold."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def squeezed(ids: bytes) -> bytes:
     """uint32 ids as zstd-compressed bytes: all low halves, then all high halves."""
-    return zstandard.compress(np.ascontiguousarray(np.frombuffer(ids, "<u2").reshape(-1, 2).T).tobytes(), 1)
+    return _zstd()[0].compress(np.ascontiguousarray(np.frombuffer(ids, "<u2").reshape(-1, 2).T).tobytes())
 
 
 def spread(data: bytes) -> np.ndarray:
     """Inverse of ``squeezed``, as an array."""
-    halves = np.frombuffer(zstandard.decompress(data), "<u2").reshape(2, -1).astype(np.uint32)
+    halves = np.frombuffer(_zstd()[1].decompress(data), "<u2").reshape(2, -1).astype(np.uint32)
     return halves[0] | halves[1] << np.uint32(16)
 
 
