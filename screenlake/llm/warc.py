@@ -7,7 +7,9 @@ the record separator as line separator, so they commit atomically on any file sy
 are bounded by the segment size and files by ``records_per_file``, which bounds the reader's memory.
 
 Reading: whole records are decoded in the task that reads them. Only segments are shuffled: grouped by origin,
-ordered by number, checked for gaps and total length, joined and decoded. A group is one message.
+ordered by number, checked for gaps and total length, joined and decoded. A group is one message: rows that repeat
+key and payload share an identifier, so the segments of each also name the row they were cut from (X-Copy). A revisit
+is resolved by the identifier that it refers to: key, digest and size come from the response that has it.
 """
 
 from __future__ import annotations
@@ -112,16 +114,17 @@ def write_archives(
                 sums = [("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", len(data))]
                 if first is not None and own != first:
                     fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), *common, ("WARC-Profile", PROFILE)]
-                    out.append(record([*fields, ("WARC-Refers-To", record_id(first, digest)), ("X-Refers-To-Key", first), *sums, kind], head))
+                    out.append(record([*fields, ("WARC-Refers-To", record_id(first, digest)), *sums, kind], head))
                     continue
                 name, message = record_id(own, digest), head + chunked(data, chunk_bytes)
                 parts = [message[at : at + segment_bytes] for at in range(0, len(message), segment_bytes)]
                 first_fields = [("WARC-Type", "response"), ("WARC-Record-ID", name), *common, *sums, kind]
-                out.append(record([*first_fields, ("WARC-Segment-Number", 1 if len(parts) > 1 else None)], parts[0]))
+                copy = ("X-Copy", uuid.uuid4().hex if len(parts) > 1 else None)
+                out.append(record([*first_fields, ("WARC-Segment-Number", 1 if len(parts) > 1 else None), copy], parts[0]))
                 for number, part in enumerate(parts[1:], 2):
                     fields = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), ("WARC-Date", date)]
                     total = len(message) if number == len(parts) else None
-                    out.append(record([*fields, ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", number), ("WARC-Segment-Total-Length", total)], part))
+                    out.append(record([*fields, ("WARC-Segment-Origin-ID", name), ("WARC-Segment-Number", number), ("WARC-Segment-Total-Length", total), copy], part))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     text = frame.mapInArrow(run, "record binary").select(F.col("record").cast("string"))
@@ -129,7 +132,7 @@ def write_archives(
     sink.text(folder)
 
 
-FIELDS = "record_id string, record_type string, key long, refers_to long, digest string, length long, segment int, total long, block binary"
+FIELDS = "record_id string, record_type string, key long, refers_id string, digest string, copy string, segment int, total long, block binary"
 
 
 def _scan(spark: SparkSession, folder: str, segments: bool) -> DataFrame:
@@ -137,8 +140,8 @@ def _scan(spark: SparkSession, folder: str, segments: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("record_id", pa.string()), ("record_type", pa.string()), ("key", pa.int64()), ("refers_to", pa.int64()), ("digest", pa.string()),
-             ("length", pa.int64()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())]
+            [("record_id", pa.string()), ("record_type", pa.string()), ("key", pa.int64()), ("refers_id", pa.string()), ("digest", pa.string()),
+             ("copy", pa.string()), ("segment", pa.int32()), ("total", pa.int64()), ("block", pa.binary())]
         )
         number = lambda fields, name: int(fields[name]) if name in fields else None
         for batch in batches:
@@ -148,8 +151,8 @@ def _scan(spark: SparkSession, folder: str, segments: bool) -> DataFrame:
                     if segments == ("WARC-Segment-Number" in fields):
                         name = fields.get("WARC-Segment-Origin-ID", fields["WARC-Record-ID"])
                         digest = fields.get("WARC-Payload-Digest", "").removeprefix("sha256:") or None
-                        values = (number(fields, x) for x in ("X-Payload-Length", "WARC-Segment-Number", "WARC-Segment-Total-Length"))
-                        rows.append((name, fields["WARC-Type"], number(fields, "X-Key"), number(fields, "X-Refers-To-Key"), digest, *values, block))
+                        values = (number(fields, x) for x in ("WARC-Segment-Number", "WARC-Segment-Total-Length"))
+                        rows.append((name, fields["WARC-Type"], number(fields, "X-Key"), fields.get("WARC-Refers-To"), digest, fields.get("X-Copy"), *values, block))
                 for at in range(0, len(rows), 256):
                     columns = [pa.array(c, t) for c, t in zip(zip(*rows[at : at + 256]), schema.types)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -160,26 +163,23 @@ def _scan(spark: SparkSession, folder: str, segments: bool) -> DataFrame:
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """(key, record_type, refers_to, payload, payload_digest, payload_bytes), one row per record of ``folder``.
 
-    The payload of a revisit is null, its digest and size are those its record states. For responses both are
-    computed from the payload, and a stated digest that differs is an error, as are gaps and a wrong total length.
+    Digest and size of a response are computed from its payload. A revisit has no payload; its digest, its size and
+    ``refers_to`` are those of the response with the identifier that it refers to. A stated digest that differs from
+    the payload's, a revisit whose response is not there or has another digest, a gap between segments and a wrong
+    total length are errors. A folder without records gives no rows.
     """
     whole = _scan(spark, folder, segments=False)
 
     def joined(rows):
-        import pandas as pd
-
         rows = rows.sort_values("segment", kind="stable")
-        copies = int((rows["segment"] == 1).sum())  # rows that were repeated in the input share an identifier
-        parts = rows.drop_duplicates("segment")
-        if list(parts["segment"]) != list(range(1, len(parts) + 1)) or len(rows) != copies * len(parts):
+        if list(rows["segment"]) != list(range(1, len(rows) + 1)):
             raise ValueError(f"segments are missing in {rows['record_id'].iloc[0]}")
-        message = b"".join(parts["block"])
-        if parts["total"].iloc[-1] != len(message):
+        message = b"".join(rows["block"])
+        if rows["total"].iloc[-1] != len(message):
             raise ValueError(f"total length differs in {rows['record_id'].iloc[0]}")
-        first = parts.head(1).assign(block=[message], total=len(message))
-        return pd.concat([first] * copies)
+        return rows.head(1).assign(block=[message], total=len(message))
 
-    cut = _scan(spark, folder, segments=True).groupBy("record_id").applyInPandas(joined, FIELDS)
+    cut = _scan(spark, folder, segments=True).groupBy("record_id", "copy").applyInPandas(joined, FIELDS)
 
     def payloads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,9 +189,20 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
                 if data is not None and hashlib.sha256(data).hexdigest() != digest.as_py():
                     raise ValueError("payload digest differs")
                 found.append(data)
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), batch.column(3), pa.array(found, pa.binary()), batch.column(4), batch.column(5)],
-                                             ["key", "record_type", "refers_to", "payload", "payload_digest", "stated"])
-
-    schema = "key long, record_type string, refers_to long, payload binary, payload_digest string, stated long"
-    read = whole.unionByName(cut).mapInArrow(payloads, schema)
-    return read.withColumn("payload_bytes", F.coalesce(F.octet_length("payload").cast("long"), "stated")).drop("stated")
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in (0, 2, 1, 3)), pa.array(found, pa.binary()), batch.column(4)], DECODED)
+
+    schema = "record_id string, key long, record_type string, refers_id string, payload binary, payload_digest string"
+    read = written(whole.unionByName(cut).mapInArrow(payloads, schema), "decoded")
+    read = read.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    responses = read.where("record_type = 'response'")
+    named = responses.groupBy("record_id").agg(F.first("key").alias("refers_to"), F.first("payload_digest").alias("own_digest"), F.first("payload_bytes").alias("own_bytes"))
+    named = named.withColumnRenamed("record_id", "refers_id")
+    found = read.where("record_type = 'revisit'").join(named, "refers_id", "left")
+    right = F.coalesce(F.col("own_digest") == F.col("payload_digest"), F.lit(False))
+    wrong = F.raise_error(F.concat(F.lit("a revisit refers to no response with its payload: "), F.coalesce("refers_id", F.lit("none")))).cast("string")
+    revisits = found.select("key", "record_type", "refers_to", "payload", F.when(right, F.col("own_digest")).otherwise(wrong).alias("payload_digest"), F.col("own_bytes").alias("payload_bytes"))
+    columns = ["key", "record_type", F.lit(None).cast("long").alias("refers_to"), "payload", "payload_digest", "payload_bytes"]
+    return responses.select(*columns).unionByName(revisits)
+
+
+DECODED = ["record_id", "key", "record_type", "refers_id", "payload", "payload_digest"]
