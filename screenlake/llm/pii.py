@@ -1,13 +1,20 @@
 """Personal data: patterns, and terms that give protected entities away.
 
-The first pass finds e-mail addresses, IP addresses, card and phone numbers, and the terms near each of them. A term
-discloses an entity by their pointwise mutual information over the documents of the corpus, as a share of the
-entity's own information: 1 + log p(entity | term) / -log p(entity). Terms above a threshold are generalised to a
-class, above a higher one removed, wherever they occur. Evidence from one context (copies of one text, say) or from
-fewer documents than ``support`` is not used.
-
-Counts are combined before they are shuffled. Lists of terms are written, so Spark broadcasts them when they are
-below its threshold and shuffles otherwise.
+The first pass finds e-mail addresses, IP addresses, card and phone numbers, and the terms of the texts that hold
+them. How much a term discloses of an entity is estimated from the documents of the corpus in which both occur: with
+k documents of both, n of the term and the entity in a share p of all documents,
+
+    q = (k + prior * p) / (n + prior)
+
+is the chance of the entity once the term is known, drawn towards p where there is little evidence, so rare entities
+are judged by the same rule as others. -log2 q bits of the entity are then still hidden. A term that leaves at most
+``generalise_bits`` hidden is generalised to a class, at most ``remove_bits`` removed, wherever it occurs. A term must
+reveal at least ``least_gain`` bits (log2 q / p), must not be a function word, and needs evidence from two texts in
+which the entity's surroundings differ: copies of one text are one witness.
+
+Counts are combined before they are shuffled. Pairs that cannot reach a threshold whatever n is are left out before
+terms are counted; that changes no result. Lists of terms are written, so Spark broadcasts them when they are below
+its threshold and shuffles otherwise.
 """
 
 from __future__ import annotations
@@ -22,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from screenlake.llm.common import text_slices, written
+from screenlake.llm.quality import COMMON
 
 KINDS = ("email", "ip", "card", "phone")
 #: An address is found from its @ to both sides: an e-mail rule that starts at every letter takes quadratic time.
@@ -95,35 +103,35 @@ def free_terms(text: str, spans: list[Span]) -> list[tuple[int, int]]:
     return out
 
 
-def occurrences(frame: DataFrame, context: int) -> DataFrame:
-    """(entity, term, around): per row each entity once with no term, and each term within ``context`` terms of it.
+def entity_documents(frame: DataFrame, context: int) -> DataFrame:
+    """(entities, terms) of every text that holds an entity: each entity (name, around) and each other term once.
 
-    ``around`` is a hash of the terms on both sides.
+    ``around`` is a hash of the ``context`` terms on both sides of the entity's first mention.
     """
+    named = pa.struct([("name", pa.string()), ("around", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, texts in text_slices(batch, "text"):
-                rows: list[tuple[str, str | None, int]] = []
+                entities, terms = [], []
                 for text in texts:
                     spans = base_spans(text)
                     if not spans:
                         continue
                     places = free_terms(text, spans)
                     starts = [s for s, _ in places]
-                    seen: dict[tuple[str, str | None], int] = {}
+                    seen: dict[str, int] = {}
                     for span in spans:
                         name = entity(text, span)
-                        at = bisect_left(starts, span[1])
-                        near = [text[s:e].lower() for s, e in places[max(0, at - context) : at + context]]
-                        around = int.from_bytes(hashlib.blake2b(" ".join(near).encode(), digest_size=8).digest(), "little", signed=True)
-                        for term in (None, *near):
-                            seen.setdefault((name, term), around)
-                    rows += [(name, term, around) for (name, term), around in seen.items()]
-                columns = list(zip(*rows)) or [(), (), ()]
-                yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.int64())], ["entity", "term", "around"])
+                        if name not in seen:
+                            at = bisect_left(starts, span[1])
+                            near = " ".join(text[s:e].lower() for s, e in places[max(0, at - context) : at + context])
+                            seen[name] = int.from_bytes(hashlib.blake2b(near.encode(), digest_size=8).digest(), "little", signed=True)
+                    entities.append([{"name": name, "around": around} for name, around in seen.items()])
+                    terms.append(list({text[s:e].lower() for s, e in places}))
+                yield pa.RecordBatch.from_arrays([pa.array(entities, pa.list_(named)), pa.array(terms, pa.list_(pa.string()))], ["entities", "terms"])
 
-    return frame.select("text").mapInArrow(run, "entity string, term string, around long")
+    return frame.select("text").mapInArrow(run, "entities array<struct<name: string, around: bigint>>, terms array<string>")
 
 
 def document_terms(frame: DataFrame, *keep: str) -> DataFrame:
@@ -132,19 +140,33 @@ def document_terms(frame: DataFrame, *keep: str) -> DataFrame:
     return frame.select(*keep, F.explode(terms).alias("term"))
 
 
-def disclosing_terms(frame: DataFrame, context: int, support: int, generalise: float, remove: float) -> DataFrame:
-    """(term, action) of the terms whose disclosure of some entity reaches a threshold, written."""
-    total = frame.count()
-    found = written(occurrences(frame, context), "occurrences")
-    entities = found.where("term IS NULL").groupBy("entity").agg(F.count(F.lit(1)).alias("with_entity")).where(F.col("with_entity") >= support)
-    pairs = found.where("term IS NOT NULL").groupBy("entity", "term").agg(F.count(F.lit(1)).alias("together"), F.min("around").alias("a"), F.max("around").alias("b"))
-    pairs = written(pairs.where((F.col("together") >= support) & (F.col("a") != F.col("b"))).join(entities, "entity"), "pairs")
+def disclosures(frame: DataFrame, prior: float, most_bits: float, least_gain: float, context: int) -> DataFrame:
+    """(entity, term, together, with_entity, with_term, hidden_bits, gained_bits) of all pairs within both thresholds."""
+    total = max(frame.count(), 1)
+    documents = written(entity_documents(frame, context), "entity_documents")
+    chance = lambda k, n: (k + prior * F.col("with_entity") / total) / (n + prior)
+    hidden = lambda k, n: -F.log2(chance(k, n))
+    mentions = documents.select(F.explode("entities").alias("e"), "terms").select("e.*", "terms")
+    witnessed = F.col("a") != F.col("b")
+    entities = mentions.groupBy("name").agg(F.count(F.lit(1)).alias("with_entity"), F.min("around").alias("a"), F.max("around").alias("b"))
+    # no term leaves less hidden than one that stands in all of the entity's documents and nowhere else
+    reachable = written(entities.where(witnessed & (hidden(F.col("with_entity"), F.col("with_entity")) <= most_bits)).select("name", "with_entity"), "entities")
+    each = mentions.join(reachable, "name").select("name", "with_entity", "around", F.explode("terms").alias("term"))
+    pairs = each.groupBy("name", "with_entity", "term").agg(F.count(F.lit(1)).alias("together"), F.min("around").alias("a"), F.max("around").alias("b"))
+    function_words = sorted({word for words in COMMON.values() for word in words})
+    pairs = written(pairs.where(witnessed & (hidden(F.col("together"), F.col("together")) <= most_bits) & ~F.col("term").isin(function_words)).drop("a", "b"), "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
     counts = written(document_terms(frame).join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("with_term")), "counts")
-    information = F.log(F.lit(float(max(total, 1))) / F.col("with_entity"))
-    share = F.when(information > 0, 1 + F.log(F.least(F.lit(1.0), F.col("together") / F.col("with_term"))) / information)
-    scored = pairs.join(counts, "term").groupBy("term").agg(F.max(share).alias("share")).where(F.col("share") >= generalise)
-    return written(scored.select("term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")), "disclosing")
+    scored = pairs.join(counts, "term").withColumn("hidden_bits", hidden(F.col("together"), F.col("with_term")))
+    scored = scored.withColumn("gained_bits", F.log2(F.lit(float(total)) / F.col("with_entity")) - F.col("hidden_bits"))
+    scored = scored.where((F.col("hidden_bits") <= most_bits) & (F.col("gained_bits") >= least_gain))
+    return scored.select(F.col("name").alias("entity"), "term", "together", "with_entity", "with_term", "hidden_bits", "gained_bits")
+
+
+def disclosing_terms(frame: DataFrame, prior: float, generalise_bits: float, remove_bits: float, least_gain: float, context: int) -> DataFrame:
+    """(term, action) of the terms whose disclosure of some entity reaches a threshold, written."""
+    scored = disclosures(frame, prior, max(generalise_bits, remove_bits), least_gain, context).groupBy("term").agg(F.min("hidden_bits").alias("hidden"))
+    return written(scored.select("term", F.when(F.col("hidden") <= remove_bits, "remove").otherwise("generalise").alias("action")), "disclosing")
 
 
 def generalised(term: str) -> str:
@@ -154,18 +176,20 @@ def generalised(term: str) -> str:
 
 
 def sanitise(
-    docs: DataFrame, context: int = 8, support: int = 3, generalise: float = 0.75, remove: float = 0.9, key: str = "doc_id", text: str = "text",
-    carry: tuple[str, ...] = (),
+    docs: DataFrame, prior: float = 2.0, generalise_bits: float = 1.2, remove_bits: float = 0.5, least_gain: float = 2.0, context: int = 8,
+    key: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """(key, text, n_email, n_ip, n_card, n_phone, base, spans[, carried columns]) of every row.
 
     ``text`` has base spans replaced by their kind and disclosing terms generalised or taken out. ``base`` and
     ``spans`` list kind:start:end in code points, by kind (email, ip, card, phone, then generalise, remove), then
-    start, joined by commas; terms that touch a base span are left to it. A null text counts as empty and has no
+    start, joined by commas; terms that touch a base span are left to it. With the defaults a term is generalised from
+    two independent documents on that it shares with an entity alone, and removed from five on. ``context`` is the
+    number of terms that tell surroundings apart, no limit to where terms are counted. A null text counts as empty and has no
     spans. Repeated rows count as documents each. Null keys stay null. An empty table gives no rows.
     """
     frame = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
-    disclosing = disclosing_terms(frame.select("key", "text"), context, support, generalise, remove)
+    disclosing = disclosing_terms(frame.select("key", "text"), prior, generalise_bits, remove_bits, least_gain, context)
     hits = document_terms(frame, "key").join(disclosing, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("terms"))
     hits = written(hits, "hits").withColumnRenamed("key", "hit_key")
     joined = frame.join(hits, frame["key"].eqNullSafe(F.col("hit_key")), "left").drop("hit_key")

@@ -40,7 +40,7 @@ def as_rows(df):
     return collections.Counter(tuple(r) for r in df.collect())
 
 
-ODD = ["a  b\n\n c", "<|endoftext|> x<|endoftext|>y ", "  ", "\n", "", " a", "é  b\t c's 're\x1c d", "x\r\ny z\n", "don't  stop 123abc", "Öé, ÿ!? À:. a.b", "×÷ a×", "﻿q ­ ß", "日本語 text 😀"]
+ODD = ["x,y;z <|endoftext|>, a|>b", "é,è. ×,÷. à\u00a0b,c\u3000,d", "1,2.3-4 don't,'s we'll.'re", "a" * 9 + "\n,b\n \n.", "a  b\n\n c", "<|endoftext|> x<|endoftext|>y ", "  ", "\n", "", " a", "é  b\t c's 're\x1c d", "x\r\ny z\n", "don't  stop 123abc", "Öé, ÿ!? À:. a.b", "×÷ a×", "﻿q ­ ß", "日本語 text 😀"]
 
 
 @pytest.mark.parametrize("make", [tokens.library_encoder, bpe.index_encoder])
@@ -50,6 +50,16 @@ def test_cached_encoders_agree_with_the_library(make, library):
         assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_a_small_store_keeps_whole_ids(library):
+    """Units that are thrown out and met again, and one that is larger than the store."""
+    plain = lambda units: tokens.flat_ids([library.encode(u.as_py().decode(), add_special_tokens=False).ids for u in units])
+    encoder = tokens.UnitEncoder(plain, limit=600)
+    for text in ["a b c d", "x" * 500 + " a", "c d e f g h i", "", "a b c d " * 3, " " + LONG[:300], "q\nr s"]:
+        ids = np.frombuffer(encoder.encode([text, None, text])[2], "<u4").tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids
+    assert len(encoder.units) < 200
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("aB é\n\t.,'s1<|>"), max_size=30), max_size=5))
 def test_encoders_on_any_text(texts):
@@ -64,6 +74,8 @@ def test_encoders_on_any_text(texts):
 def test_bpe_digests(docs, library):
     path = default_tokenizer()
     got = as_rows(bpe.id_digests(bpe.decode(bpe.encode(docs, path), path), 50_257))
+    assert as_rows(bpe.round_trip_digests(docs, path)) == got
+    assert bpe.round_trip_digests(docs.limit(0), path).count() == bpe.encode(docs.limit(0), path).count() == 0
     want = collections.Counter()
     for key, text in TEXTS:
         ids = library.encode(text or "", add_special_tokens=False).ids
@@ -335,12 +347,53 @@ def test_disclosing_terms_go(spark):
     rows = [(i, f"note {i} zorgon{i % 7} quux writes to big.boss@corp.example now, item {i * 31}", "x") for i in range(12)]
     rows += [(100 + i, f"plain text number {i} with common words now", "x") for i in range(60)] + [(200, "quux was here", "x"), (None, None, "x"), (201, "4111 1111 1111 1111", "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, key string")
-    got = {r.doc_id: r for r in pii.sanitise(frame, support=3).collect()}
+    got = {r.doc_id: r for r in pii.sanitise(frame).collect()}
     assert got[200].text == " was here" and got[200].base == "" and got[200].spans == "remove:0:4"
-    assert "[EMAIL]" in got[3].text and "quux" not in got[3].text and got[3].n_email == 1
+    assert "[EMAIL]" in got[3].text and "quux" not in got[3].text and got[3].n_email == 1 and " to [EMAIL]" in got[3].text
     assert got[105].text == rows[17][1] and got[105].spans == ""
     assert got[None].text == "" and got[201].text == "[CARD]"
     assert pii.sanitise(frame.limit(0)).count() == 0
+    again = frame.unionByName(frame).selectExpr("doc_id", "text", "key", "1 AS term", "2 AS name", "3 AS carry")
+    assert pii.sanitise(again, carry=("key",)).count() == 2 * len(rows)
+
+
+def plain_disclosures(texts, prior, most_bits, least_gain, context):
+    spans = [pii.base_spans(t or "") for t in texts]
+    free = [[(t or "")[s:e].lower() for s, e in pii.free_terms(t or "", sp)] for t, sp in zip(texts, spans)]
+    whole = [{w.lower() for w in pii.TERM.findall(t or "")} for t in texts]
+    entities = collections.defaultdict(dict)
+    for i, (text, own) in enumerate(zip(texts, spans)):
+        for span in own:
+            starts = [s for s, _ in pii.free_terms(text, own)]
+            at = sum(s < span[1] for s in starts)
+            entities[pii.entity(text, span)].setdefault(i, tuple(free[i][max(0, at - context) : at + context]))
+    function_words = {w for words in quality.COMMON.values() for w in words}
+    for name, where in entities.items():
+        share = len(where) / len(texts)
+        for term in {t for i in where for t in free[i]} - function_words:
+            both = [i for i in where if term in free[i]]
+            n = sum(term in words for words in whole)
+            hidden = -np.log2((len(both) + prior * share) / (n + prior))
+            gained = -np.log2(share) - hidden
+            if len({where[i] for i in both}) > 1 and hidden <= most_bits and gained >= least_gain:
+                yield name, term, len(both), len(where), n, round(hidden, 9), round(gained, 9)
+
+
+@pytest.mark.parametrize("most_bits,least_gain", [(1.2, 2.0), (0.5, 0.0), (30.0, -30.0)])
+def test_all_disclosures_against_plain_counts(spark, most_bits, least_gain):
+    """Terms far from the mention count like near ones; an address of two documents is judged; copies are one witness."""
+    rng = np.random.default_rng(5)
+    far = " ".join(f"pad{i}" for i in range(30))
+    texts = [f"n{i} mail lone.wolf@corp.example about wolfram {rng.integers(9)}" for i in range(2)]
+    texts += [f"n{i} call +1 555 010 0199, case{i} then to {far} zorgfar" for i in range(6)]
+    texts += ["same words beside copy@corp.example each time rarest"] * 9
+    texts += [" ".join(f"w{x}" for x in rng.integers(0, 60, 20)) + (" who@corp.example" if i % 9 == 0 else "") for i in range(70)] + [None, ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    found = pii.disclosures(frame.selectExpr("coalesce(text, '') AS text"), 2.0, most_bits, least_gain, 8).collect()
+    got = {(*r[:5], round(r.hidden_bits, 9), round(r.gained_bits, 9)) for r in found}
+    assert got == set(plain_disclosures(texts, 2.0, most_bits, least_gain, 8)) and len(found) == len(got)
+    terms = {r.term for r in found}
+    assert ("zorgfar" in terms) and "rarest" not in terms and ("wolfram" in terms) == (most_bits > 1)
 
 
 def test_archives(spark, tmp_path):
