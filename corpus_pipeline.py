@@ -11,31 +11,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from screenlake.llm import minhash, packing, pii, quality, substring
-from screenlake.llm.common import default_tokenizer, table, written
+from screenlake.llm.common import bloom_filter, default_tokenizer, table, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _text_hash(docs: DataFrame) -> F.Column:
-    return F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the rows that the rules reject. Rows that agree in doc_id, text and language share a verdict."""
-    hashed = docs.select(*COLUMNS).withColumn("tie", _text_hash(docs))
-    verdicts = quality.judge(hashed, carry=("tie", "lang"))
-    rejected = written(verdicts.where("NOT kept").select("doc_id", "tie", "lang").distinct(), "rejected")
-    same = [hashed[c].eqNullSafe(rejected[c]) for c in ("doc_id", "tie", "lang")]
-    return hashed.join(rejected, same[0] & same[1] & same[2], "left_anti").select(*COLUMNS)
+    """Drops the rows that the rules reject; each row is judged by itself and travels with its verdict."""
+    return quality.judge(docs.select(*COLUMNS), carry=("text", "lang", "source", "n_chars")).where("kept").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one row of each group of near duplicates, that with the smallest doc_id; at 0.8 similarity or more."""
+    """Keeps one row of each group of near duplicates, that with the smallest doc_id; at 0.8 similarity or more.
+
+    Rows that are surely the only ones of their doc_id and text, and chosen, stay where they are. Only the others are
+    shuffled, to drop what was not chosen and to keep one of rows that repeat both.
+    """
     found = minhash.near_duplicates(docs.select(*COLUMNS), percent=80)
-    chosen = found.where("chosen").select("doc_id", "tie").distinct()
-    hashed = docs.select(*COLUMNS).withColumn("tie", _text_hash(docs))
-    kept = hashed.join(chosen, hashed["doc_id"].eqNullSafe(chosen["doc_id"]) & (hashed["tie"] == chosen["tie"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "tie"]).select(*COLUMNS)
+    marks = written(found.groupBy("doc_id", "tie").agg(F.max("chosen").alias("chosen"), F.count(F.lit(1)).alias("n")), "marks")
+    doubtful = marks.where("NOT chosen OR n > 1")
+    hashed = docs.select(*COLUMNS).withColumn("tie", F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))))
+    asked = bloom_filter(doubtful, ["doc_id", "tie"])
+    suspect = F.lit(True) if asked is None else asked(F.col("doc_id"), F.col("tie"))
+    dropped = doubtful.where("NOT chosen")
+    left = hashed.where(suspect).hint("merge")
+    left = left.join(dropped, left["doc_id"].eqNullSafe(dropped["doc_id"]) & (left["tie"] == dropped["tie"]), "left_anti")
+    return hashed.where(~suspect).select(*COLUMNS).unionByName(left.dropDuplicates(["doc_id", "tie"]).select(*COLUMNS))
 
 
 def substring_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
