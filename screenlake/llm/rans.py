@@ -174,7 +174,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(tokenizer)
-        for part, ids in encoded(batches, "text", encoder):
+        for part, ids in encoded(batches, "text", encoder, size=4_000_000):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array([squeezed(x + ending) for x in ids], pa.binary())], ["key", "ids"])
 
     return frame.mapInArrow(run, "key long, ids binary")
@@ -186,13 +186,12 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                numbers = spread(ids.as_py())
-                if len(numbers):
-                    found = np.bincount(numbers, minlength=vocabulary)
-                    if len(found) > vocabulary:
-                        raise ValueError("an id is outside the vocabulary")
-                    counts += found
+            for start in range(0, batch.num_rows, 256):
+                rows = [spread(ids.as_py()) for ids in batch.column(0).slice(start, 256)]
+                found = np.bincount(np.concatenate(rows), minlength=vocabulary)
+                if len(found) > vocabulary:
+                    raise ValueError("an id is outside the vocabulary")
+                counts += found
         seen = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], ["id", "n"])
 

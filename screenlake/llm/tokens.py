@@ -83,7 +83,7 @@ class UnitEncoder:
     ``limit`` bytes; beyond that, only those of the last slice stay.
     """
 
-    def __init__(self, encode_units: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], special: tuple[str, ...] = (), limit: int = 64_000_000):
+    def __init__(self, encode_units: Callable[[pa.Array], tuple[np.ndarray, np.ndarray]], special: tuple[str, ...] = (), limit: int = 32_000_000):
         self.encode_units, self.limit = encode_units, limit
         if any(any(c.isspace() for c in token) for token in special):
             raise ValueError("special tokens with white space inside would be cut")
@@ -195,3 +195,4 @@ def encoded(batches: Iterator[pa.RecordBatch], text: str, encoder: UnitEncoder,
     """Slices of whole rows with about ``size`` bytes of text, and the ids of their texts (null text: empty)."""
     for part in row_slices(batches, text, size):
         yield part, encoder.encode(part.column(part.schema.get_field_index(text)))
+    pa.default_memory_pool().release_unused()  # a worker lives on when its task is done
