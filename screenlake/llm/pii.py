@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from screenlake.llm.common import text_slices, written
+from screenlake.llm.common import bloom_filter, text_slices, written
 from screenlake.llm.quality import COMMON
 
 KINDS = ("email", "ip", "card", "phone")
@@ -140,6 +140,12 @@ def document_terms(frame: DataFrame, *keep: str) -> DataFrame:
     return frame.select(*keep, F.explode(terms).alias("term"))
 
 
+def only(terms: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``term`` may be in ``wanted``, found where they are."""
+    asked = bloom_filter(wanted.select("term"), ["term"])
+    return terms if asked is None else terms.where(asked(F.col("term")))
+
+
 def disclosures(frame: DataFrame, prior: float, most_bits: float, least_gain: float, context: int) -> DataFrame:
     """(entity, term, together, with_entity, with_term, hidden_bits, gained_bits) of all pairs within both thresholds."""
     total = max(frame.count(), 1)
@@ -156,7 +162,9 @@ def disclosures(frame: DataFrame, prior: float, most_bits: float, least_gain: fl
     function_words = sorted({word for words in COMMON.values() for word in words})
     pairs = written(pairs.where(witnessed & (hidden(F.col("together"), F.col("together")) <= most_bits) & ~F.col("term").isin(function_words)).drop("a", "b"), "pairs")
     wanted = written(pairs.select("term").distinct(), "terms")
-    counts = written(document_terms(frame).join(wanted, "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("with_term")), "counts")
+    # the filter leaves hardly any other term; those that pass by chance fall out of the small join behind the counts
+    counts = only(document_terms(frame), wanted).groupBy("term").agg(F.count(F.lit(1)).alias("with_term"))
+    counts = written(counts.join(wanted, "term", "left_semi"), "counts")
     scored = pairs.join(counts, "term").withColumn("hidden_bits", hidden(F.col("together"), F.col("with_term")))
     scored = scored.withColumn("gained_bits", F.log2(F.lit(float(total)) / F.col("with_entity")) - F.col("hidden_bits"))
     scored = scored.where((F.col("hidden_bits") <= most_bits) & (F.col("gained_bits") >= least_gain))
@@ -190,7 +198,7 @@ def sanitise(
     """
     frame = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)])
     disclosing = disclosing_terms(frame.select("key", "text"), prior, generalise_bits, remove_bits, least_gain, context)
-    hits = document_terms(frame, "key").join(disclosing, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("terms"))
+    hits = only(document_terms(frame, "key"), disclosing).join(disclosing, "term").groupBy("key").agg(F.map_from_entries(F.collect_set(F.struct("term", "action"))).alias("terms"))
     hits = written(hits, "hits").withColumnRenamed("key", "hit_key")
     joined = frame.join(hits, frame["key"].eqNullSafe(F.col("hit_key")), "left").drop("hit_key")
     others = [f for f in frame.schema if f.name.startswith("carry_")]
