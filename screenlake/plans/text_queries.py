@@ -167,7 +167,7 @@ def _vocab(spark, sf_dir):
 
 
 def _joined(column):
-    return F.array_join(F.transform(column, lambda x: x.cast("string")), " ")
+    return F.array_join(F.col(column).cast("array<string>"), " ")
 
 
 @query(

@@ -111,3 +111,23 @@ def test_hot_word(spark, vocab):
     df = spark.range(300).select(F.col("id").alias("k"), F.lit("a a b d c a").alias("t"))
     got = encoding.encode(df.repartition(5), "k", {"x": ("t", 6)}, vocab)
     assert got.filter("x_ids <> array(3, 3, 4, 6, 5, 3)").count() == 0 and got.count() == 300
+
+
+def test_encode_looks_each_distinct_token_of_a_chunk_up_once(spark, monkeypatch):
+    rows = [(1, "a b a", "b"), (2, None, ""), (None, "c zz", "a"), (1, "b c d", "a a"), (3, "  a  a a a a a a", None), (4, "", "q")]
+    df = spark.createDataFrame(rows, "k long, text string, other string")
+    vocab = encoding.vocabulary(spark.createDataFrame([("d c b a",)], "text string"), "text")
+    a, b, c, d, unk = 3, 4, 5, 6, 2
+    # rows with one key are one, their tokens in the order of their places and ids
+    want = {1: ([a, b, b, c, a, d], [a, b, a]), 2: ([], []), None: ([c, unk], [a]), 3: ([a] * 7, []), 4: ([], [unk])}
+    for most in (2_000_000, 3):
+        monkeypatch.setattr(encoding, "CHUNK_TOKENS", most)
+        got = encoding.encode(df.coalesce(1), "k", {"x": ("text", None), "y": ("other", None)}, vocab)
+        assert {r.k: (r.x_ids, r.y_ids) for r in got.collect()} == want
+        cut = encoding.encode(df.coalesce(1), "k", {"x": ("text", 3)}, vocab, end_marker=True).filter("k = 3").first()
+        assert cut.x_ids == [a, a, 1] and cut.x_mask == [1, 1, 1]
+    many = spark.range(100).select("id", F.lit("a b b zz " * 20).alias("text")).coalesce(1)
+    monkeypatch.setattr(encoding, "CHUNK_TOKENS", 2_000_000)
+    coded = encoding._coded(many, "id", [F.split("text", " ")])
+    assert coded.select(F.explode("_tokens")).count() == 4  # of 8,100 tokens
+    assert encoding.encode(many.limit(0), "id", {"x": ("text", 5)}, vocab).count() == 0
