@@ -118,3 +118,14 @@ def test_skewed_condition_gives_the_same_table(spark, rows):
     one = rows(features.state_proportions(hot.coalesce(1)))
     assert one == rows(features.state_proportions(hot.repartition(13)))
     assert all(abs(sum(r[1:]) - 1) < 1e-12 for r in one)
+
+
+def test_entries_are_dealt_to_tasks_by_their_number(spark, monkeypatch):
+    cells = spark.range(300).select(F.col("id").alias("cell_id"))
+    matrix = spark.range(1200).select((F.col("id") % 400).alias("cell_id"), (F.col("id") % 3).cast("int").alias("gene_idx"), F.lit(1.0).alias("value"))
+    monkeypatch.setattr(features, "TASK_ENTRIES", 40)
+    got = features.densify(cells, matrix, 3).select("cell_id", "features", F.spark_partition_id().alias("task")).collect()
+    assert len(got) == 300 and all(sum(r.features) == 3.0 for r in got)
+    assert len({r.task for r in got}) >= 25  # of 30; left to itself Spark makes one of so few rows
+    monkeypatch.setattr(features, "TASK_ENTRIES", 500_000)
+    assert features.entry_tasks(matrix) == spark.sparkContext.defaultParallelism
